@@ -81,5 +81,5 @@ SCORED = TX + """, scored AS (
          (cents % 997 + "isFraud" * 400) / CAST(1400.0 AS DOUBLE) AS prob FROM tx)"""
 
 SPLIT = """split_rows AS (
-  SELECT *, CASE WHEN rn <= floor(n * 0.7) THEN 'train' WHEN rn <= n - floor(n * 0.15) THEN 'val' ELSE 'test' END AS split
+  SELECT *, CASE WHEN rn <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train' WHEN rn <= n - floor(n * CAST(0.15 AS DOUBLE)) THEN 'val' ELSE 'test' END AS split
   FROM (SELECT *, row_number() OVER (ORDER BY "TransactionDT", "TransactionID") AS rn, count(*) OVER () AS n FROM {0}) r)"""

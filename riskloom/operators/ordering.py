@@ -156,29 +156,41 @@ def running(df: DataFrame, by: Sequence[str], order: Sequence[str], items: Seque
     return plain_running(cold, by, order, items).unionByName(sliced)
 
 
-def key_at(df: DataFrame, order: Sequence[str], position: int, cells: int = 65_536) -> tuple[int, ...]:
-    """Values of the integer ``order`` columns at a 0-based position of that order.
+def keys_at(df: DataFrame, order: Sequence[str], positions: Sequence[int], low: int, high: int,
+            cells: int = 4096) -> list[tuple[int, ...]]:
+    """Values of the integer ``order`` columns at 0-based positions of that order.
 
     Narrows a value range by counting rows per equal cell, so nothing is sorted
-    or shuffled beyond ``cells`` counts per pass and the filters of later passes
-    reach the scan. ``order`` must be unique; the number of passes is
-    log(range) / log(cells) per column.
+    and a pass shuffles no more than ``cells`` counts per task; the filters of
+    later passes reach the scan. ``low`` and ``high`` bound the first column.
+    ``order`` must be unique; passes per column are log(range) / log(cells).
     """
+    seen: dict[tuple, list] = {}
+    return [_key_at(df, order, p, low, high, cells, seen) for p in positions]
+
+
+def _key_at(df: DataFrame, order: Sequence[str], position: int, low: int, high: int, cells: int,
+            seen: dict[tuple, list]) -> tuple[int, ...]:
     found: list[int] = []
     scope = df
-    for name in order:
-        col = F.col(name)
-        low, high = scope.agg(F.min(col), F.max(col)).first()
+    for name, following in zip(order, [*order[1:], None]):
+        bounds = None
         while low < high:
             width = -(-(high - low + 1) // cells)
-            cell = F.expr(f"(`{name}` - ({low}L)) div {width}L")
-            counts = (scope.where(col.between(low, high)).groupBy(cell.alias("cell"))
-                      .agg(F.count(F.lit(1)).alias("n")).orderBy("cell").collect())
-            for row in counts:
+            step = (*found, low, high)
+            if step not in seen:
+                rest = [F.min(following).alias("low"), F.max(following).alias("high")] if following else []
+                seen[step] = (scope.where(F.col(name).between(low, high))
+                              .groupBy(F.expr(f"(`{name}` - ({low}L)) div {width}L").alias("cell"))
+                              .agg(F.count(F.lit(1)).alias("n"), *rest).orderBy("cell").collect())
+            for row in seen[step]:
                 if position < row["n"]:
-                    low, high = low + row["cell"] * width, min(high, low + (row["cell"] + 1) * width - 1)
                     break
                 position -= row["n"]
+            low, high = low + row["cell"] * width, min(high, low + (row["cell"] + 1) * width - 1)
+            bounds = (row["low"], row["high"]) if following and low == high else None
         found.append(low)
-        scope = scope.where(col == low)
+        if following:
+            scope = scope.where(F.col(name) == low)
+            low, high = bounds or tuple(scope.agg(F.min(following), F.max(following)).first())
     return tuple(found)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,16 +36,24 @@ class LevelEncoding:
     levels: Mapping[str, tuple[str, ...]]
     dropped: tuple[str, ...]
 
+    @property
+    def pairs(self) -> list[tuple[str, str]]:
+        return [(c, v) for c, values in self.levels.items() for v in values]
+
     @property
     def names(self) -> list[str]:
-        return [f"{c}_{v}" for c, values in self.levels.items() for v in values]
+        """column_level, with dots as underscores: a dot would read as a struct field."""
+        names: list[str] = []
+        for c, v in self.pairs:
+            name = f"{c}_{v}".replace(".", "_")
+            names.append(name if name not in names else f"{name}_{len(names)}")
+        return names
 
     def transform(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """``keep`` plus one 0/1 float per level; unseen levels give all zeros."""
-        dummies = [
-            F.when(F.coalesce(F.col(c), F.lit(MISSING)) == v, 1.0).otherwise(0.0).cast("float").alias(f"{c}_{v}")
-            for c, values in self.levels.items() for v in values]
-        return df.select(*keep, *dummies)
+        return df.select(*keep, *[
+            F.when(F.coalesce(F.col(c), F.lit(MISSING)) == v, 1.0).otherwise(0.0).cast("float").alias(name)
+            for (c, v), name in zip(self.pairs, self.names)])
 
 
 def fit_levels(train: DataFrame, names: Sequence[str] | None = None, limit: int = HIGH_CARDINALITY) -> LevelEncoding:
@@ -66,6 +74,12 @@ def fit_levels(train: DataFrame, names: Sequence[str] | None = None, limit: int
     return LevelEncoding(levels, tuple(c for c in names if c not in levels))
 
 
+def fit_categories(train: DataFrame, names: Sequence[str]) -> StringIndexerModel:
+    """Category numbers from train, most frequent first, ties by name; unseen and NULL share one more number."""
+    return StringIndexer(inputCols=list(names), outputCols=[f"{c}_index" for c in names], handleInvalid="keep",
+                         stringOrderType="frequencyDesc").fit(train)
+
+
 @dataclass(frozen=True)
 class NumericScaling:
     """Mean and population deviation per column; ``dropped`` had no value to average."""

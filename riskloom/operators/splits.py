@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.ordering import Running, key_at, sliced_running
+from riskloom.operators.ordering import Running, keys_at, sliced_running
 
 # Default shares of the time split.
 TRAIN_SIZE = 0.7
@@ -30,14 +30,16 @@ def time_split(df: DataFrame, train_size: float = TRAIN_SIZE, test_size: float =
     The two cut rows are found by counting; the split itself is a comparison
     with literals, so a filter on it reaches the scan.
     """
-    n = df.count()
-    val_start, test_start = split_sizes(n, train_size, test_size)
     keys = df.select(time, row_id)
+    n, low, high = keys.agg(F.count(F.lit(1)), F.min(time), F.max(time)).first()
+    val_start, test_start = split_sizes(n, train_size, test_size)
+    inner = [p for p in (val_start, test_start) if p < n]
+    cuts = dict(zip(inner, keys_at(keys, [time, row_id], inner, low, high)))
 
     def before(position: int) -> Column:
-        if position >= n:
+        if position not in cuts:
             return F.lit(True)
-        at_time, at_id = key_at(keys, [time, row_id], position)
+        at_time, at_id = cuts[position]
         return (F.col(time) < at_time) | ((F.col(time) == at_time) & (F.col(row_id) < at_id))
 
     return df.withColumn("split", F.when(before(val_start), "train").when(before(test_start), "val").otherwise("test"))
