@@ -79,26 +79,35 @@ def column_list(df: DataFrame) -> DataFrame:
 def parse_records(df: DataFrame, schema: T.StructType, body: str = "body") -> DataFrame:
     """Typed fields of a JSON text plus ``rejected``: the fields whose value has the wrong type.
 
-    Every field is optional. A number may come as a number or as numeric text;
-    a whole-number field takes no fraction. ``rejected`` is ['body'] when the
-    text is no JSON object. Use ``accepted`` and ``quarantined`` to separate.
+    Every field is optional, others are ignored. A number may come as a number
+    or as numeric text; a whole-number field takes no fraction; a text field
+    takes any scalar. ``rejected`` is [body] when the text is no JSON object.
+    Use ``accepted`` and ``quarantined`` to separate.
     """
-    as_text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema]
-                           + [T.StructField("_corrupt", T.StringType(), True)])
-    parsed = df.withColumn("_r", F.from_json(body, as_text, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}))
-
-    def typed(f: T.StructField) -> Column:
-        text = F.col(f"_r.{f.name}")
+    longs = [f.name for f in schema if isinstance(f.dataType, T.LongType)]
+    doubles = [f.name for f in schema if isinstance(f.dataType, T.DoubleType)]
+
+    def wrong(name: Column, value: Column) -> Column:
+        return value.isNotNull() & ((name.isin(longs) & whole_number(value).isNull())
+                                    | (name.isin(doubles) & value.try_cast("double").isNull()))
+
+    # Types are checked on the present fields only; a record usually has few of the declared ones.
+    given = F.from_json(body, T.MapType(T.StringType(), T.StringType()))
+    rejected = F.coalesce(F.map_keys(F.map_filter(given, wrong)), F.array(F.lit(body)))
+
+    def typed(f: T.StructField) -> str:
+        text = f"_r.`{f.name}`"
+        if isinstance(f.dataType, T.StringType):
+            return f"{text} AS `{f.name}`"
+        number = f"try_cast({text} AS {f.dataType.simpleString()})"
         if isinstance(f.dataType, T.LongType):
-            return whole_number(text)
-        return text if isinstance(f.dataType, T.StringType) else text.try_cast(f.dataType)
-
-    typed_rows = parsed.select(*df.columns, "_r", *[typed(f).alias(f.name) for f in schema])
-    bad = [F.when(F.col(f"_r.{f.name}").isNotNull() & F.col(f.name).isNull(), F.lit(f.name))
-           for f in schema if not isinstance(f.dataType, T.StringType)]
-    broken = F.col("_r").isNull() | F.col("_r._corrupt").isNotNull()
-    rejected = F.when(broken, F.array(F.lit(body))).otherwise(F.array_compact(F.array(*bad)))
-    return typed_rows.withColumn("rejected", rejected).drop("_r")
+            whole = f"try_cast({text} AS DOUBLE)"
+            number = f"coalesce({number}, CASE WHEN {whole} = floor({whole}) THEN try_cast({whole} AS BIGINT) END)"
+        return f"{number} AS `{f.name}`"
+
+    texts = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
+    return (df.withColumn("rejected", rejected).withColumn("_r", F.from_json(body, texts))
+            .selectExpr(*df.columns, "rejected", *[typed(f) for f in schema]))
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
