@@ -1 +1,160 @@
-"""Placeholder."""
+"""Models, cross validation, search and the queries over their logs."""
+
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskloom.catalog.cleaning import DUMMIES, NUMBERS
+from riskloom.catalog.inputs import SPEC, TX, table, transactions
+from riskloom.catalog.registry import query
+from riskloom.operators import models, prep
+from riskloom.operators.columns import legit_rows
+from riskloom.operators.ordering import Running, running
+from riskloom.operators.splits import stratified_folds, time_split
+from riskloom.plans.features import build_features
+from riskloom.plans.scoring import batch_score
+from riskloom.plans.training import train
+from riskloom.session import scratch_path, written
+from riskloom.sources.readers import read_csv
+from riskloom.sources.sinks import write_submission
+
+# Small models: the queries show that every step runs, not how good a model can get.
+SMALL = models.TreeParams(rounds=3, max_depth=3, min_data_in_leaf=20)
+INPUTS = ["TransactionAmt", "cnt_24h", "amt_1h", "avg_amt_per_uid1", "time_since_last_tx", "C1"]
+TEXTS = ["DeviceType"]
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature table with its time split, written once: boosting reads it many times."""
+    return written(time_split(build_features(transactions(spark, sf_dir), spec=SPEC)), "features")
+
+
+def fitted(rows: DataFrame):
+    train_rows = rows.where("split = 'train'")
+    inputs = models.fit_tree_inputs(train_rows, INPUTS, TEXTS)
+    return models.fit_trees(train_rows, inputs, SMALL), inputs
+
+
+@query("gbt_train")
+def gbt_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model, inputs = fitted(features(spark, sf_dir))
+    return models.feature_importance(spark, model, inputs)
+
+
+@query("gbt_predict")
+def gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = features(spark, sf_dir)
+    model, inputs = fitted(rows)
+    scores = models.predict(model, inputs, rows, ["TransactionID", "isFraud", "split"])
+    return scores.withColumn("predicted", models.predicted_class(F.col("prob"), 0.25))
+
+
+@query("batch_score")
+def batch_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = build_features(transactions(spark, sf_dir), spec=SPEC)
+    trained = train(rows, scratch_path(spark, "model"), SMALL)
+    path = scratch_path(spark, "submission")
+    write_submission(batch_score(rows, trained), path)
+    return read_csv(spark, path, "TransactionID bigint, isFraud int")
+
+
+def matrix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    split = time_split(transactions(spark, sf_dir))
+    train_rows = split.where("split = 'train'")
+    levels, scaling = prep.fit_levels(train_rows, list(DUMMIES)), prep.fit_scaling(train_rows, NUMBERS)
+    width = len(levels.names) + len(scaling.names)
+    return written(prep.numeric_matrix(split, levels, scaling, ["TransactionID", "isFraud", "split"]), "matrix"), width
+
+
+@query("anomaly_score")
+def anomaly_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, width = matrix(spark, sf_dir)
+    model = models.fit_reconstruction(legit_rows(rows.where("split = 'train'")), width, 3)
+    return model.score(rows).select("TransactionID", "split", "anomaly_score")
+
+
+@query("anomaly_embeddings")
+def anomaly_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reconstruction error of the embeddings from the components of one class."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    width = 64
+    return models.fit_reconstruction(legit_rows(rows, "label"), width, 8).score(rows).select("vec_id", "label", "anomaly_score")
+
+
+@query("latent_search")
+def latent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, width = matrix(spark, sf_dir)
+    legit = legit_rows(rows)
+    return models.search_latent_dim(legit.where("split = 'train'"), legit.where("split = 'val'"), width, [1, 3, 6])
+
+
+@query("cross_val")
+def cross_val(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = features(spark, sf_dir).where("split <> 'test'")
+    folded = written(stratified_folds(rows), "folds")
+    inputs = models.fit_tree_inputs(folded, INPUTS, TEXTS)
+    return models.cross_validate(folded, inputs, models.TreeParams(rounds=2, max_depth=3, min_data_in_leaf=20))
+
+
+@query("hpo_search")
+def hpo_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = features(spark, sf_dir)
+    train_rows, val_rows = rows.where("split = 'train'"), rows.where("split = 'val'")
+    inputs = models.fit_tree_inputs(train_rows, INPUTS, TEXTS)
+    return models.search_trees(train_rows, val_rows, inputs, models.sample_trials(3), models.TreeParams(rounds=2))
+
+
+@query("attribution")
+def attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = features(spark, sf_dir)
+    model, inputs = fitted(rows)
+    return models.permutation_importance(model, inputs, rows.where("split = 'val'"), ["TransactionAmt", "C1", "DeviceType"])
+
+
+@query("hpo_best", f"""WITH {TX} SELECT study, trial, val_pr_auc FROM (SELECT card1 AS study, "TransactionID" AS trial, cents AS val_pr_auc,
+  row_number() OVER (PARTITION BY card1 ORDER BY cents DESC, "TransactionID") AS rn FROM tx) r WHERE rn = 1""")
+def hpo_best(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as studies, their transactions as trials."""
+    trials = transactions(spark, sf_dir).select(
+        F.col("card1").alias("study"), F.col("TransactionID").alias("trial"), SPEC.units.alias("val_pr_auc"))
+    return models.best_trial(trials, ["study"], "val_pr_auc")
+
+
+STEPS = """steps AS (SELECT {0}, row_number() OVER (PARTITION BY {1} ORDER BY "TransactionDT", "TransactionID") AS step, cents, "isFraud" FROM tx)"""
+
+
+@query("early_stop", f"""WITH {TX}, {STEPS.format('card1 AS run', 'card1')},
+a AS (SELECT *, min(cents) OVER (PARTITION BY run ORDER BY step) AS best FROM steps),
+b AS (SELECT *, max(CASE WHEN cents = best THEN step END) OVER (PARTITION BY run ORDER BY step) AS best_step FROM a),
+s AS (SELECT run, count(*) AS n_steps, min(CASE WHEN step - best_step >= 5 THEN step END) AS stop_step FROM b GROUP BY run)
+SELECT s.run, n_steps, stop_step, (SELECT min(cents) FROM steps x WHERE x.run = s.run AND x.step <= coalesce(s.stop_step, s.n_steps)) AS best_loss FROM s""")
+def early_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as runs, their amounts as losses."""
+    rows = transactions(spark, sf_dir).select(F.col("card1").alias("run"), "TransactionDT", "TransactionID", SPEC.units.alias("loss"))
+    steps = running(rows, ["run"], ["TransactionDT", "TransactionID"], [Running("step", "sum", F.lit(1).cast("bigint"))])
+    return models.early_stopping(steps, 5)
+
+
+DAY = '"TransactionDT" // 86400'
+
+
+@query("prune_median", f"""WITH {TX}, {STEPS.format(f'card1 AS study, {DAY} AS trial', f'card1, {DAY}')},
+c AS (SELECT study, trial, step, cents AS value, max("isFraud") OVER (PARTITION BY study, trial) = 0 AS complete FROM steps),
+b AS (SELECT *, max(value) OVER (PARTITION BY study, trial ORDER BY step) AS best,
+  quantile_cont(CASE WHEN complete THEN CAST(value AS DOUBLE) END, 0.5) OVER (PARTITION BY study, step ORDER BY trial
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS median FROM c),
+d AS (SELECT study, trial, CAST(coalesce(sum(k) OVER (PARTITION BY study ORDER BY trial ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT)
+  AS n_completed FROM (SELECT study, trial, max(CAST(complete AS INTEGER)) AS k FROM c GROUP BY study, trial) t)
+SELECT study, trial, step, best, median, n_completed, coalesce(best < median, false) AND n_completed >= 3 AND step >= 2 AS prune
+FROM b JOIN d USING (study, trial)""")
+def prune_median(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users as studies, days as trials, amounts as reported values; a day with a fraud did not complete."""
+    rows = transactions(spark, sf_dir).select(
+        F.col("card1").alias("study"), F.expr("TransactionDT div 86400").alias("trial"), "TransactionDT", "TransactionID",
+        SPEC.units.alias("value"), "isFraud")
+    steps = running(rows, ["study", "trial"], ["TransactionDT", "TransactionID"], [Running("step", "sum", F.lit(1).cast("bigint"))])
+    fraud = rows.groupBy("study", "trial").agg((F.max("isFraud") == 0).alias("complete"))
+    values = steps.join(fraud, ["study", "trial"]).select("study", "trial", "step", "value", "complete")
+    return models.median_pruning(values, startup_trials=3, warmup_steps=2)

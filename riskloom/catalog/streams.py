@@ -1 +1,69 @@
-"""Placeholder."""
+"""Streams over the events: decisions, features and replay protection at arrival."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from riskloom.catalog.behaviour import COUNTS, AMOUNT, EVENT_DEVICE, GAP, HISTORY, RATIO, SINCE, change, new_device
+from riskloom.catalog.decisions import BLOCK, FALLBACK, THRESHOLD, decision_sql
+from riskloom.catalog.inputs import SCORED, SPEC, TX, table, transactions_from
+from riskloom.catalog.models import SMALL
+from riskloom.catalog.registry import query
+from riskloom.operators.columns import user_keys
+from riskloom.operators.decisions import decide, fallback_fraud, huge_amount_from_new_device
+from riskloom.plans.scoring import score_and_decide
+from riskloom.plans.training import train
+from riskloom.session import scratch_path
+from riskloom.streaming.behaviour import stream_features
+from riskloom.streaming.runs import drop_replays, read_stream, run_available
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_stream(spark, sf_dir, "events.parquet", table(spark, sf_dir, "events").schema)
+
+
+def rules():
+    """Mobile devices stand for new ones: a stream without state has no first sightings."""
+    return [huge_amount_from_new_device(above=BLOCK)]
+
+
+@query("stream_score", f"""WITH {SCORED}, rows AS (SELECT "TransactionID", "TransactionAmt", "DeviceType", prob FROM tx
+  JOIN (SELECT "TransactionID", prob FROM scored) s USING ("TransactionID")) """ + decision_sql(
+    f"""("TransactionAmt" > {BLOCK} AND "DeviceType" = 'mobile')"""))
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = transactions_from(event_stream(spark, sf_dir))
+    cents = F.round(F.col("TransactionAmt") * 100).cast("bigint")
+    rows = tx.withColumns({"prob": (cents % 997 + F.col("isFraud") * 400) / F.lit(1400.0),
+                           "is_new_device_uid1": (F.col("DeviceType") == "mobile").cast("bigint")})
+    return run_available(decide(rows, THRESHOLD, rules(), fallback=fallback_fraud(above=FALLBACK)), "decisions")
+
+
+@query("stream_model_score")
+def stream_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored model applied to the stream."""
+    history = transactions_from(table(spark, sf_dir, "events"))
+    history = history.drop("DeviceInfo", "P_emaildomain")  # they spell out the label
+    trained = train(history, scratch_path(spark, "model"), SMALL)
+    tx = transactions_from(event_stream(spark, sf_dir))
+    rows = tx.withColumn("is_new_device_uid1", (F.col("DeviceType") == "mobile").cast("bigint"))
+    decided = score_and_decide(rows, trained, rules(), ["TransactionID", "TransactionAmt", "is_new_device_uid1"])
+    return run_available(decided, "decisions")
+
+
+@query("stream_features", f"""WITH {TX}, f AS (SELECT *, {COUNTS}, {AMOUNT}, {HISTORY}, {GAP}, {change('addr1')} FROM tx),
+g AS (SELECT *, {RATIO}, {SINCE} FROM f)
+SELECT "TransactionID", "TransactionDT", "TransactionAmt", uid1, cnt_5m, cnt_1h, cnt_24h, cnt_7d, time_since_last_tx, amt_1h, cnt_per_uid1,
+  avg_amt_per_uid1, std_amt_per_uid1, amt_vs_avg_ratio, time_since_last_geo_change, {new_device(EVENT_DEVICE)} FROM g t""")
+def stream_features_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tx = user_keys(transactions_from(event_stream(spark, sf_dir)))
+    return run_available(stream_features(tx, SPEC), "features")
+
+
+@query("stream_late", "SELECT event_id, user_id, value FROM events")
+def stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event arrives twice and counts once."""
+    twice = event_stream(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
+        "copy", F.explode(F.array(F.lit(0), F.lit(1))))
+    once = drop_replays(twice, "ts", "event_id")
+    return run_available(once.select("event_id", "user_id", "value"), "events")

@@ -41,4 +41,4 @@ def label_lookup(column: Column, labels: dict[str, str]) -> Column:
 
 def percent_text(probability: Column) -> Column:
     """Two decimals, half-even on the binary value."""
-    return F.format_number(probability, "0.00")
+    return F.format_number(probability, 2)

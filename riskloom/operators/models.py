@@ -73,7 +73,7 @@ def fit_trees(train: DataFrame, inputs: TreeInputs, params: TreeParams = TreePar
         featureSubsetStrategy=str(params.feature_fraction), minInstancesPerNode=params.min_data_in_leaf,
         minInfoGain=params.min_gain_to_split * params.gain_scale, maxBins=HIGH_CARDINALITY + 28, seed=params.seed)
     if validation:
-        trees = trees.setValidationIndicatorCol(validation).setValidationTol(tolerance)
+        trees = trees.setParams(validationIndicatorCol=validation, validationTol=tolerance)
     assembler = VectorAssembler(inputCols=inputs.names, outputCol="features")
     return Pipeline(stages=[*indexers, assembler, trees]).fit(prepared)
 

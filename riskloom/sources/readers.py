@@ -13,7 +13,7 @@ SQL_TYPES = {"int": "BIGINT", "bigint": "BIGINT", "double": "DOUBLE PRECISION",
              "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     """CSV with a header and declared types.
 
     An unquoted empty field is NULL, a quoted one is an empty text, quotes are
