@@ -158,9 +158,9 @@ def feature_table_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("feature_table_hot", FEATURES_SQL)
 def feature_table_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same table with the heavier users cut into slices."""
-    return build_features(transactions(spark, sf_dir), spec=replace(SPEC, hot_rows=65, slice_rows=500))
+    return build_features(transactions(spark, sf_dir), spec=replace(SPEC, hot_rows=65, slice_rows=1500))
 
 
 @query("feature_table_hot_ties", ORDER_FEATURES_SQL)
 def feature_table_hot_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return order_features(spark, sf_dir, replace(ORDER_SPEC, hot_rows=14, slice_rows=500))
+    return order_features(spark, sf_dir, replace(ORDER_SPEC, hot_rows=14, slice_rows=1500))

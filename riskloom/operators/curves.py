@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.operators.joins import null_safe
 from riskloom.operators.ordering import Running, sliced_running, value_slices
 
 
@@ -42,21 +41,12 @@ def curve_points(df: DataFrame, score: str = "prob", label: str = "isFraud", by:
     """
     scored = df.select(*by, F.col(score).cast("double").alias("threshold"), F.col(label).cast("bigint").alias("_y"))
     scored = value_slices(scored.where(F.col("threshold").isNotNull()), "threshold", "_cut", slices)
-    keys = list(by) or ["_all"]
-    if not by:
-        scored = scored.withColumn("_all", F.lit(0))
-    counts = scored.groupBy(*keys, "_cut", "threshold").agg(
+    counts = scored.groupBy(*by, "_cut", "threshold").agg(
         F.sum("_y").alias("d_tp"), (F.count(F.lit(1)) - F.sum("_y")).alias("d_fp"))
-    counts = counts.withColumn("_cut", -F.col("_cut"))
-    points = sliced_running(counts, keys, "_cut", [F.desc("threshold")], [
-        Running("tp", "sum", F.col("d_tp")), Running("fp", "sum", F.col("d_fp"))])
-    totals = scored.groupBy(*keys).agg(F.sum("_y").alias("positives"), F.count(F.lit(1)).alias("_n"))
-    totals = totals.withColumnsRenamed({k: f"_t_{k}" for k in keys})
-    if not by:
-        totals = F.broadcast(totals)  # one row
-    joined = points.join(totals, null_safe(points, totals, {k: f"_t_{k}" for k in keys}))
-    return joined.select(*by, "threshold", "d_tp", "d_fp", "tp", "fp", "positives",
-                         (F.col("_n") - F.col("positives")).alias("negatives"))
+    points = sliced_running(counts.withColumn("_cut", -F.col("_cut")), by, "_cut", [F.desc("threshold")], [
+        Running("tp", "sum", F.col("d_tp")), Running("fp", "sum", F.col("d_fp")),
+        Running("positives", "sum", F.col("d_tp"), whole=True), Running("negatives", "sum", F.col("d_fp"), whole=True)])
+    return points.drop("_cut")
 
 
 def _precision() -> Column:

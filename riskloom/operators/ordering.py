@@ -32,12 +32,13 @@ MAX_HOT_KEYS = 100_000
 
 @dataclass(frozen=True)
 class Running:
-    """One running aggregate: ``op`` is sum, min, max or last."""
+    """One running aggregate: ``op`` is sum, min, max or last; ``whole`` asks for the key's total instead."""
 
     name: str
     op: str
     column: Column
     inclusive: bool = True
+    whole: bool = False
 
 
 @dataclass(frozen=True)
@@ -91,7 +92,8 @@ def value_slices(df: DataFrame, value: str, name: str = "_slice", slices: int |
     shares = [i / pieces for i in range(1, pieces)]
     cuts = sorted(set(df.approxQuantile(value, shares, 1.0 / (4 * pieces)))) if shares else []
     splits = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
+    numbered = Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
+    return numbered.withColumn(name, F.col(name).cast("int"))
 
 
 def _over(item: Running, column: Column, window) -> Column:
@@ -105,8 +107,8 @@ def _frame(window, inclusive: bool):
 
 
 def plain_running(df: DataFrame, by: Sequence[str], order: Sequence[Column | str], items: Sequence[Running]) -> DataFrame:
-    base = Window.partitionBy(*by).orderBy(*order)
-    return df.select("*", *[_over(i, i.column, _frame(base, i.inclusive)).alias(i.name) for i in items])
+    base, key = Window.partitionBy(*by).orderBy(*order), Window.partitionBy(*by)
+    return df.select("*", *[_over(i, i.column, key if i.whole else _frame(base, i.inclusive)).alias(i.name) for i in items])
 
 
 def sliced_running(df: DataFrame, by: Sequence[str], slice_col: str, order: Sequence[Column | str],
@@ -118,7 +120,8 @@ def sliced_running(df: DataFrame, by: Sequence[str], slice_col: str, order: Sequ
     (key, slice).
     """
     inside = Window.partitionBy(*by, slice_col).orderBy(*order)
-    local = df.select("*", *[_over(i, i.column, _frame(inside, i.inclusive)).alias(f"_in_{i.name}") for i in items])
+    local = df.select("*", *[_over(i, i.column, _frame(inside, i.inclusive)).alias(f"_in_{i.name}")
+                             for i in items if not i.whole])
 
     def total(item: Running) -> Column:
         if item.op == "last":
@@ -126,14 +129,17 @@ def sliced_running(df: DataFrame, by: Sequence[str], slice_col: str, order: Sequ
         return getattr(F, item.op)(item.column)
 
     totals = df.groupBy(*by, slice_col).agg(*[total(i).alias(i.name) for i in items])
-    earlier = Window.partitionBy(*by).orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
+    key = Window.partitionBy(*by)
+    earlier = key.orderBy(slice_col).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
         *[F.col(c).alias(f"_key_{c}") for c in (*by, slice_col)],
-        *[_over(i, F.col(i.name), earlier).alias(f"_pre_{i.name}") for i in items])
+        *[_over(i, F.col(i.name), key if i.whole else earlier).alias(f"_pre_{i.name}") for i in items])
     same = reduce(Column.__and__, [local[c].eqNullSafe(carry[f"_key_{c}"]) for c in (*by, slice_col)])
     joined = local.join(carry, same, "left")
 
     def combined(item: Running) -> Column:
+        if item.whole:
+            return F.col(f"_pre_{item.name}")
         here, before = F.col(f"_in_{item.name}"), F.col(f"_pre_{item.name}")
         if item.op == "sum":
             return F.when(here.isNull(), before).when(before.isNull(), here).otherwise(here + before)
