@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -158,10 +159,15 @@ def anomaly_rank0(spark: SparkSession, sf_dir: str) -> DataFrame:
     return z.select("TransactionID", F.round(mean_square_score(scaling.names), 8).alias("anomaly_score"))
 
 
-@query("nn_matrix")
+@query("nn_matrix", f"""WITH {LEGIT}, train AS (SELECT * FROM split_rows WHERE split = 'train') SELECT "TransactionID", """ + ", ".join(
+    f"""CAST(CASE WHEN coalesce("{c}", 'missing') = '{v}' THEN 1 ELSE 0 END AS DOUBLE) AS "{c}_{v}" """
+    for c, values in DUMMIES.items() for v in values) + ", " + ", ".join(
+    f'round({Z[c]}, 8) AS "{c}"' for c in NUMBERS) + " FROM split_rows, m, d")
 def nn_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The entries of the assembled vector under their recorded names."""
     split = time_split(transactions(spark, sf_dir))
     train = split.where("split = 'train'")
     levels, scaling = prep.fit_levels(train, list(DUMMIES)), prep.fit_scaling(train, NUMBERS)
-    matrix = prep.numeric_matrix(split, levels, scaling, ["TransactionID", "split"])
-    return matrix.select("TransactionID", "split", F.col("features").cast("string").alias("features"))
+    matrix = prep.numeric_matrix(split, levels, scaling, ["TransactionID"]).withColumn("_v", vector_to_array("features"))
+    return matrix.select("TransactionID", *[
+        F.round(F.col("_v")[i], 8).alias(name) for i, name in enumerate([*levels.names, *scaling.names])])

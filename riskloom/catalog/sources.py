@@ -30,8 +30,15 @@ def src_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return readers.read_csv(spark, csv_of(ordered), declared)
 
 
-@query("src_infer")
+CSV_COLUMNS = ("TransactionID", "isFraud", "TransactionDT", "TransactionAmt", "card1", "card2", "addr1", "P_emaildomain",
+               "DeviceInfo", "DeviceType", "C1")
+
+
+@query("src_infer", f"WITH {TX}, kinds AS (" + " UNION ALL ".join(
+    f"""(SELECT {i} AS position, '{c}' AS column_name, any_value(typeof("{c}")) AS kind FROM tx)""" for i, c in enumerate(CSV_COLUMNS))
+    + """) SELECT position, column_name, CASE kind WHEN 'VARCHAR' THEN 'TEXT' WHEN 'DOUBLE' THEN 'DOUBLE PRECISION' ELSE kind END AS sql_type FROM kinds""")
 def src_infer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types found in the written text are those the rows had."""
     return readers.infer_schema(spark, csv_of(transactions(spark, sf_dir)))
 
 

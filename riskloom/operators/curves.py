@@ -25,7 +25,7 @@ def _share(part: Column, whole: Column) -> Column:
 
 
 def class_metrics(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """accuracy, precision, recall, f1 of a ``confusion`` table; 0 where undefined."""
+    """``by`` plus accuracy, precision, recall, f1 of a ``confusion`` table; 0 where undefined."""
     tp, fp, tn, fn = (F.col(c) for c in ("tp", "fp", "tn", "fn"))
     return counts.select(
         *by, _share(tp + tn, tp + fp + tn + fn).alias("accuracy"), _share(tp, tp + fp).alias("precision"),
@@ -73,36 +73,47 @@ def pr_curve(points: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def roc_curve(points: DataFrame) -> DataFrame:
-    """threshold, fpr, tpr per distinct score, and the start (NULL, 0, 0)."""
-    curve = points.select("threshold", _fpr().alias("fpr"), _tpr().alias("tpr"))
-    start = points.agg(F.max("positives").alias("p"), F.max("negatives").alias("n")).select(
-        F.lit(None).cast("double").alias("threshold"), F.when(F.col("n") > 0, 0.0).alias("fpr"),
-        F.when(F.col("p") > 0, 0.0).alias("tpr"))
-    return curve.unionByName(start)
+    """threshold, fpr, tpr per distinct score, and the start (NULL, 0, 0) before the highest score."""
+    def point(threshold: Column, fpr: Column, tpr: Column) -> Column:
+        return F.struct(threshold.alias("threshold"), fpr.alias("fpr"), tpr.alias("tpr"))
 
+    own = point(F.col("threshold"), _fpr(), _tpr())
+    start = point(F.lit(None).cast("double"), F.when(F.col("negatives") > 0, 0.0), F.when(F.col("positives") > 0, 0.0))
+    highest = (F.col("tp") + F.col("fp")) == (F.col("d_tp") + F.col("d_fp"))
+    return points.select(F.inline(F.when(highest, F.array(own, start)).otherwise(F.array(own))))
 
-def curve_metrics(points: DataFrame, target_fpr: float = 0.05, by: Sequence[str] = ()) -> DataFrame:
-    """pr_auc (step rule), roc_auc (ties by trapezoid) and recall_at_fpr, in one aggregate."""
+
+def _curve_aggregates(target_fpr: float) -> dict[str, Column]:
     step = F.sum(F.col("d_tp") * _precision())
     area = F.sum(F.col("d_fp").cast("decimal(19,0)") * (F.col("tp") * 2 - F.col("d_tp")).cast("decimal(19,0)"))
     positives, negatives = F.max("positives"), F.max("negatives")
     both = (positives > 0) & (negatives > 0)
-    return points.groupBy(*by).agg(
-        F.when(positives == 0, 0.0).otherwise(step / positives).alias("pr_auc"),
-        F.when(both, area.cast("double") / (positives.cast("double") * negatives.cast("double") * 2)).alias("roc_auc"),
-        F.when(both, F.coalesce(F.max(F.when(_fpr() <= target_fpr, _tpr())), F.lit(0.0))).alias("recall_at_fpr"))
+    return {
+        "pr_auc": F.when(positives == 0, 0.0).otherwise(step / positives),
+        "roc_auc": F.when(both, area.cast("double") / (positives.cast("double") * negatives.cast("double") * 2)),
+        "recall_at_fpr": F.when(both, F.coalesce(F.max(F.when(_fpr() <= target_fpr, _tpr())), F.lit(0.0)))}
+
+
+def curve_metrics(points: DataFrame, target_fpr: float = 0.05, by: Sequence[str] = ()) -> DataFrame:
+    """pr_auc (step rule), roc_auc (ties by trapezoid) and recall_at_fpr, in one aggregate."""
+    return points.groupBy(*by).agg(*[c.alias(n) for n, c in _curve_aggregates(target_fpr).items()])
 
 
 def average_precision(df: DataFrame, score: str = "prob", label: str = "isFraud") -> DataFrame:
     return curve_metrics(curve_points(df, score, label)).select("pr_auc")
 
 
-def split_report(df: DataFrame, threshold: float | Column, score: str = "prob", label: str = "isFraud",
+def split_report(df: DataFrame, threshold: float, score: str = "prob", label: str = "isFraud",
                  by: str = "split", target_fpr: float = 0.05) -> DataFrame:
-    """All metrics of every split."""
-    fixed = class_metrics(confusion(df, threshold, score, label, [by]), [by])
-    curves = curve_metrics(curve_points(df, score, label, [by]), target_fpr, [by])
-    return fixed.join(curves, by)
+    """All metrics of every split in one aggregate: the curve points hold the counts above the threshold too."""
+    points = curve_points(df, score, label, [by])
+    above = F.col("threshold") > threshold
+    tp, fp = (F.coalesce(F.sum(F.when(above, F.col(c))), F.lit(0).cast("bigint")) for c in ("d_tp", "d_fp"))
+    curve = _curve_aggregates(target_fpr)
+    summary = points.groupBy(by).agg(
+        tp.alias("tp"), fp.alias("fp"), (F.max("negatives") - fp).alias("tn"), (F.max("positives") - tp).alias("fn"),
+        *[c.alias(n) for n, c in curve.items()])
+    return class_metrics(summary, [by, *curve])
 
 
 def reconstruction_errors(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:

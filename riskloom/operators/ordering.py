@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from riskloom.session import parallelism, written
 
 # A key with more rows than this is cut into slices.
-HOT_ROWS = 2_000_000
+HOT_ROWS = 1_000_000
 # Rows aimed at per slice.
 SLICE_ROWS = 1_000_000
 # The heaviest keys that are treated as hot. By pigeonhole every other key has
@@ -91,6 +91,8 @@ def value_slices(df: DataFrame, value: str, name: str = "_slice", slices: int |
     pieces = min(slices or parallelism(df.sparkSession), 4096)
     shares = [i / pieces for i in range(1, pieces)]
     cuts = sorted(set(df.approxQuantile(value, shares, 1.0 / (4 * pieces)))) if shares else []
+    if not cuts:
+        return df.withColumn(name, F.lit(0))
     splits = [float("-inf"), *cuts, float("inf")]
     numbered = Bucketizer(splits=splits, inputCol=value, outputCol=name, handleInvalid="keep").transform(df)
     return numbered.withColumn(name, F.col(name).cast("int"))

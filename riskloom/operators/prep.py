@@ -74,8 +74,18 @@ def fit_levels(train: DataFrame, names: Sequence[str] | None = None, limit: int
     return LevelEncoding(levels, tuple(c for c in names if c not in levels))
 
 
-def fit_categories(train: DataFrame, names: Sequence[str]) -> StringIndexerModel:
-    """Category numbers from train, most frequent first, ties by name; unseen and NULL share one more number."""
+# Category names of one column that the driver may hold.
+MAX_CATEGORIES = 100_000
+
+
+def fit_categories(train: DataFrame, names: Sequence[str], most: int = MAX_CATEGORIES) -> StringIndexerModel:
+    """Category numbers from train, most frequent first, ties by name; unseen and NULL share one more number.
+
+    The fitted model lists every category, so the columns are measured first.
+    """
+    sizes = train.agg(*[F.approx_count_distinct(c).alias(c) for c in names]).first().asDict()
+    if large := {c: n for c, n in sizes.items() if n > most}:
+        raise ValueError(f"too many categories for a model: {large}")
     return StringIndexer(inputCols=list(names), outputCols=[f"{c}_index" for c in names], handleInvalid="keep",
                          stringOrderType="frequencyDesc").fit(train)
 

@@ -12,6 +12,9 @@ from riskloom.functions import whole_number
 SQL_TYPES = {"int": "BIGINT", "bigint": "BIGINT", "double": "DOUBLE PRECISION", "boolean": "BOOLEAN",
              "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
 
+# Stands for a quoted empty field while reading; Spark would merge it with NULL.
+QUOTED_EMPTY = "\u0000"
+
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False) -> DataFrame:
     """CSV with a header and declared types.
@@ -21,8 +24,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, multi_l
     ``multi_line`` is needed for line breaks inside quotes; such files cannot be
     split, so it is off unless asked for.
     """
-    return (spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "FAILFAST")
-            .option("multiLine", multi_line).csv(path))
+    rows = (spark.read.schema(schema).option("header", True).option("escape", '"').option("mode", "FAILFAST")
+            .option("emptyValue", QUOTED_EMPTY).option("multiLine", multi_line).csv(path))
+    texts = [f.name for f in rows.schema if isinstance(f.dataType, T.StringType)]
+    return rows.withColumns({c: F.when(F.col(c) == QUOTED_EMPTY, "").otherwise(F.col(c)) for c in texts})
 
 
 def infer_schema(spark: SparkSession, path: str, rows: int = 1000) -> DataFrame:
