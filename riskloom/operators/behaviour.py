@@ -30,8 +30,7 @@ SUM_WIDTHS = {"amt_1h": 3600}
 VELOCITY, AMOUNT, HISTORY, GAP, PLACE, DEVICE = "velocity", "amount", "history", "gap", "place", "device"
 ALL_PARTS = (VELOCITY, AMOUNT, HISTORY, GAP, PLACE, DEVICE)
 
-# Width of the time slices of a hot key. After summing per second, a slice holds
-# at most SLICE_SECONDS rows of its own plus as many per window width.
+# Shortest time slice of a hot key, in seconds.
 SLICE_SECONDS = 86_400
 
 
@@ -228,45 +227,47 @@ def _by_slice(df: DataFrame, hot: HotKeys, spec: FeatureSpec, parts: tuple[str,
 def _range_features(rows: DataFrame, spec: FeatureSpec, parts: tuple[str, ...]) -> DataFrame:
     """Range features per (user, second).
 
-    All rows of a second share them, so rows are first summed per second. Each
-    second then asks, at time ``t - width - 1``, for the running totals to
-    subtract; questions and seconds are one ordered stream of running sums.
+    All rows of a second share them, so rows are first summed per second. Time
+    is cut into slices as long as the widest window; a slice sees its own
+    seconds and, as a halo, those of the slice before, which is all a window can
+    reach. That is at most two entries per second of the width, however many
+    rows a user has. The latest change of place has no such limit: slices
+    further back hand on their maximum.
     """
     key, time = spec.key, spec.time
-    widths = sorted({*(spec.count_widths.values() if VELOCITY in parts else ()),
-                     *(spec.sum_widths.values() if AMOUNT in parts else ())})
+    widths = {**(spec.count_widths if VELOCITY in parts else {}), **(spec.sum_widths if AMOUNT in parts else {})}
+    length = max([*widths.values(), SLICE_SECONDS]) + 1
     per_second = rows.groupBy(key, time).agg(
         F.count(F.lit(1)).alias("_n"), F.count("_units").alias("_m"),
         F.coalesce(F.sum("_units"), F.lit(0).cast("bigint")).alias("_s"),
-        (F.max("geo_change_dt") if PLACE in parts else F.max(F.lit(None).cast("bigint"))).alias("_g"))
+        *([F.max("geo_change_dt").alias("_g")] if PLACE in parts else []))
+    per_second = per_second.withColumnsRenamed({key: "_key", time: "_time"}).withColumn(
+        "_own", F.floor(F.col("_time") / F.lit(length)).cast("bigint"))
 
-    zero, nothing = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
-
-    def entry(width: int | None) -> Column:
-        own = width is None
-        values = {"_n": F.col("_n"), "_m": F.col("_m"), "_s": F.col("_s"), "_g": F.col("_g")} if own else {
-            "_n": zero, "_m": zero, "_s": zero, "_g": nothing}
-        at = F.col(time) if own else F.col(time) - F.lit(width + 1).cast("bigint")
-        return F.struct(F.lit(0 if own else width).alias("_width"), at.alias("_at"), *[v.alias(n) for n, v in values.items()])
-
-    stream = (per_second
-              .select(F.col(key).alias("_key"), F.col(time).alias("_time"),
-                      F.inline(F.array(entry(None), *[entry(w) for w in widths])))
-              .withColumn("_day", F.floor(F.col("_at") / F.lit(SLICE_SECONDS)).cast("bigint")))
-    totals = sliced_running(stream, ["_key"], "_day", ["_at", "_width"], [
-        Running("_upto_n", "sum", F.col("_n")), Running("_upto_m", "sum", F.col("_m")),
-        Running("_upto_s", "sum", F.col("_s")), Running("_upto_g", "max", F.col("_g"))])
+    seen_by = F.array("_own", F.col("_own") + 1) if widths else F.array("_own")
+    slices = per_second.withColumn("_slice", F.explode(seen_by))
+    by_time = Window.partitionBy("_key", "_slice").orderBy("_time")
+    upto = by_time.rangeBetween(Window.unboundedPreceding, 0)
 
-    def at_width(name: str, width: int) -> Column:
-        return F.max(F.when(F.col("_width") == width, F.col(name)))
+    def moving(name: str, width: int) -> Column:
+        older = F.sum(name).over(by_time.rangeBetween(Window.unboundedPreceding, -(width + 1)))
+        return F.sum(name).over(upto) - F.coalesce(older, F.lit(0).cast("bigint"))
 
-    out: list[Column] = []
+    found: dict[str, Column] = {}
     if VELOCITY in parts:
-        out += [(at_width("_upto_n", 0) - at_width("_upto_n", w)).alias(n) for n, w in spec.count_widths.items()]
+        found |= {name: moving("_n", width) for name, width in spec.count_widths.items()}
     if AMOUNT in parts:
-        out += [F.when(at_width("_upto_m", 0) > at_width("_upto_m", w),
-                       (at_width("_upto_s", 0) - at_width("_upto_s", w)).cast("double") / float(10 ** spec.amount_scale)).alias(n)
-                for n, w in spec.sum_widths.items()]
+        found |= {name: F.when(moving("_m", width) > 0, moving("_s", width).cast("double") / float(10 ** spec.amount_scale))
+                  for name, width in spec.sum_widths.items()}
     if PLACE in parts:
-        out.append((F.col("_time") - at_width("_upto_g", 0)).alias("time_since_last_geo_change"))
-    return totals.groupBy("_key", "_time").agg(*out)
+        found["_latest"] = F.max("_g").over(upto)
+    own = slices.withColumns(found).where(F.col("_slice") == F.col("_own"))
+    if PLACE not in parts:
+        return own.select("_key", "_time", *found)
+
+    changes = per_second.groupBy("_key", "_own").agg(F.max("_g").alias("_g"))
+    earlier = Window.partitionBy("_key").orderBy("_own").rowsBetween(Window.unboundedPreceding, -1)
+    carry = changes.select(F.col("_key").alias("_c_key"), F.col("_own").alias("_c_own"), F.max("_g").over(earlier).alias("_before"))
+    joined = own.join(carry, own["_key"].eqNullSafe(carry["_c_key"]) & (own["_slice"] == carry["_c_own"]))
+    since = F.col("_time") - F.greatest("_latest", "_before")
+    return joined.select("_key", "_time", *[n for n in found if n != "_latest"], since.alias("time_since_last_geo_change"))
