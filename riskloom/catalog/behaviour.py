@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.catalog.inputs import ORDER_SPEC, ORDER_TX, SPEC, TX, order_transactions, transactions
 from riskloom.catalog.registry import query
@@ -150,6 +151,20 @@ def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_features(transactions(spark, sf_dir), spec=SPEC)
 
 
+SPARSE_TX = TX.replace(
+    "CASE WHEN k % 2 = 0 THEN 'mobile' ELSE 'desktop' END", "CASE WHEN event_type <> 'signup' THEN CASE WHEN k % 2 = 0 THEN 'mobile' ELSE 'desktop' END END")
+
+
+@query("feature_table_identity", feature_sql(
+    SPARSE_TX, "addr1", EVENT_DEVICE, """, "DeviceInfo", "DeviceType", "isFraud", card1, card2, addr1, "P_emaildomain",
+  CASE WHEN "DeviceInfo" IS NOT NULL THEN "C1" END AS id_01"""))
+def feature_table_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Devices come from a sparse side table; wide rows meet their features on the id."""
+    full = transactions(spark, sf_dir)
+    identity = full.where("DeviceInfo IS NOT NULL").select("TransactionID", F.col("C1").alias("id-01"), "DeviceInfo", "DeviceType")
+    return build_features(full.drop("C1", "DeviceInfo", "DeviceType"), identity, spec=SPEC, carried=0)
+
+
 @query("feature_table_ties", ORDER_FEATURES_SQL)
 def feature_table_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_features(spark, sf_dir, ORDER_SPEC)

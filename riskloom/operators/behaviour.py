@@ -66,12 +66,17 @@ class FeatureSpec:
         return [n for part in names if part in parts for n in names[part]]
 
 
-def behaviour(df: DataFrame, spec: FeatureSpec = FeatureSpec(), parts: Iterable[str] = ALL_PARTS) -> DataFrame:
-    """All rows and columns of ``df`` plus the features of ``parts``."""
+def behaviour(df: DataFrame, spec: FeatureSpec = FeatureSpec(), parts: Iterable[str] = ALL_PARTS,
+              counted: DataFrame | None = None) -> DataFrame:
+    """All rows and columns of ``df`` plus the features of ``parts``.
+
+    Heavy users are counted first. ``counted`` may name a cheaper frame with the
+    same keys, such as the transactions before a join.
+    """
     wanted = tuple(parts)
     if unknown := set(wanted) - set(ALL_PARTS):
         raise ValueError(f"unknown feature parts: {sorted(unknown)}")
-    hot = hot_keys(df, [spec.key], spec.hot_rows)
+    hot = hot_keys(counted or df, [spec.key], spec.hot_rows)
     if hot is None:
         return _by_user(df, spec, wanted)
     cold, heavy = split_hot(df, [spec.key], hot)

@@ -147,6 +147,27 @@ def test_feature_table_with_identity(spark):
     assert rows[1]["id_01"] is None and rows[2]["id_01"] == 4.0 and rows[2]["time_since_last_geo_change"] == 0
 
 
+def test_wide_tables_are_shuffled_once(spark, tmp_path):
+    """Same rows with and without carrying; the wide row is exchanged once, by id."""
+    rows = [(i, i % 2, 10 * (i % 40), 1.0 + i, i % 5, float(i % 3)) for i in range(80)]
+    names = "TransactionID bigint, isFraud bigint, TransactionDT bigint, TransactionAmt double, card1 bigint, addr1 double"
+    spark.createDataFrame(rows, names).withColumns({f"V{i}": F.col("TransactionAmt") * i for i in range(1, 60)}).write.parquet(f"{tmp_path}/tx")
+    tx = spark.read.parquet(f"{tmp_path}/tx")
+    identity = tx.where("TransactionID % 3 = 0").selectExpr("TransactionID", "V2 AS `id-01`", "'ios' AS DeviceInfo", "'mobile' AS DeviceType")
+    wide, carried = build_features(tx, identity), build_features(tx, identity, carried=1000)
+    assert wide.columns == carried.columns
+    assert sorted(map(repr, wide.collect())) == sorted(map(repr, carried.collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = build_features(tx, identity)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(uid1") == 1  # the narrow rows
+        assert "Exchange hashpartitioning(TransactionID" in plan
+        carried = build_features(tx, identity, carried=1000)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Sort [") - carried.count("Sort [") == 3  # narrow sorts instead of wide ones
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_one_shuffle_and_no_python(spark):
     df = spark.createDataFrame(random_rows(50, 3), DDL)
     plan = behaviour(df, SPEC)._jdf.queryExecution().executedPlan().toString()
