@@ -69,15 +69,19 @@ def _advance(rows: pd.DataFrame, state: tuple, spec: FeatureSpec) -> tuple[pd.Da
     has = rows["_units"].notna().to_numpy()
     units = rows["_units"].fillna(0).to_numpy(dtype=np.int64)
     scale = float(10 ** spec.amount_scale)
-    out = rows[[spec.id, spec.time, spec.amount, spec.key]].copy()
+    out = {c: rows[c].to_numpy() for c in (spec.id, spec.time, spec.amount, spec.key)}
 
     # Ranges: one entry per second, old and new, with running totals.
-    stream = pd.DataFrame({"s": np.concatenate([np.array(seconds, dtype=np.int64), time]),
-                           "c": np.concatenate([np.array(counts, dtype=np.int64), np.ones_like(time)]),
-                           "k": np.concatenate([np.array(known, dtype=np.int64), has.astype(np.int64)]),
-                           "u": np.concatenate([np.array(sums, dtype=np.int64), units])}).groupby("s", as_index=False).sum()
-    at = stream["s"].to_numpy()
-    upto = {c: np.concatenate([[0], stream[c].to_numpy().cumsum()]) for c in "cku"}
+    at, slot = np.unique(np.concatenate([np.array(seconds, dtype=np.int64), time]), return_inverse=True)
+
+    def per_second(old: list[int], new: np.ndarray) -> np.ndarray:
+        totals = np.zeros(len(at), dtype=np.int64)
+        np.add.at(totals, slot, np.concatenate([np.array(old, dtype=np.int64), new]))
+        return totals
+
+    stream = {"c": per_second(counts, np.ones_like(time)), "k": per_second(known, has.astype(np.int64)),
+              "u": per_second(sums, units)}
+    upto = {c: np.concatenate([[0], v.cumsum()]) for c, v in stream.items()}
     right = np.searchsorted(at, time, "right")
 
     def moving(column: str, width: int) -> np.ndarray:
@@ -98,7 +102,7 @@ def _advance(rows: pd.DataFrame, state: tuple, spec: FeatureSpec) -> tuple[pd.Da
     out[f"cnt_per_{spec.key}"] = n + np.arange(len(time))
     out[f"avg_amt_per_{spec.key}"] = mean
     out[f"std_amt_per_{spec.key}"] = np.sqrt(np.array(spread, dtype=float)) / scale
-    out["amt_vs_avg_ratio"] = out[spec.amount].to_numpy() / (mean + 1.0)
+    out["amt_vs_avg_ratio"] = out[spec.amount] / (mean + 1.0)
 
     # The row before: gap and change of place.
     previous = np.concatenate([[time[0] if last_time is None else last_time], time[:-1]])
@@ -108,18 +112,19 @@ def _advance(rows: pd.DataFrame, state: tuple, spec: FeatureSpec) -> tuple[pd.Da
     changed = ~np.isnan(place) & ~np.isnan(before) & (place != before)
     latest = np.maximum.accumulate(np.where(changed, time, NEVER if last_change is None else last_change))
     latest = latest[np.searchsorted(time, time, "right") - 1]  # rows of the same second see its change
-    out["time_since_last_geo_change"] = pd.array(np.where(latest == NEVER, 0, time - np.where(latest == NEVER, 0, latest)), dtype="Int64")
-    out.loc[latest == NEVER, "time_since_last_geo_change"] = pd.NA
+    never = latest == NEVER
+    out["time_since_last_geo_change"] = pd.arrays.IntegerArray(time - np.where(never, 0, latest), never)
 
     # Devices: the first second each was seen.
     seen = dict(zip(devices, first_seen))
-    for device, first in rows.groupby("_device")[spec.time].min().items():
-        seen[device] = min(first, seen.get(device, first))
-    out[f"is_new_device_{spec.key}"] = (rows["_device"].map(seen).to_numpy() == time).astype(np.int64)
+    shown = rows["_device"].tolist()
+    for device, second in zip(shown, time.tolist()):
+        seen[device] = min(second, seen.get(device, second))
+    out[f"is_new_device_{spec.key}"] = (np.array([seen[d] for d in shown]) == time).astype(np.int64)
 
-    keep = stream[at >= time[-1] - max([*spec.count_widths.values(), *spec.sum_widths.values()])]
-    after = (keep["s"].tolist(), keep["c"].tolist(), keep["k"].tolist(), keep["u"].tolist(),
+    keep = at >= time[-1] - max([*spec.count_widths.values(), *spec.sum_widths.values()])
+    after = (at[keep].tolist(), *(stream[c][keep].tolist() for c in "cku"),
              int(n + len(time)), int(numbers[-1]), str(totals[-1]), str(moments[-1]), int(time[-1]),
              None if np.isnan(place[-1]) else float(place[-1]),
              None if latest[-1] == NEVER else int(latest[-1]), list(seen), [int(v) for v in seen.values()])
-    return out, after
+    return pd.DataFrame(out), after
