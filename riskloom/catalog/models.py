@@ -12,7 +12,7 @@ from riskloom.catalog.registry import query
 from riskloom.operators import models, prep
 from riskloom.operators.columns import legit_rows
 from riskloom.operators.ordering import Running, running
-from riskloom.operators.splits import stratified_folds, time_split
+from riskloom.operators.splits import stratified_folds, time_cuts, time_split
 from riskloom.plans.features import build_features
 from riskloom.plans.scoring import batch_score
 from riskloom.plans.training import train
@@ -28,7 +28,8 @@ TEXTS = ["DeviceType"]
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature table with its time split, written once: boosting reads it many times."""
-    return written(time_split(build_features(transactions(spark, sf_dir), spec=SPEC)), "features")
+    rows = transactions(spark, sf_dir)
+    return written(build_features(rows, spec=SPEC).withColumn("split", time_cuts(rows).label()), "features")
 
 
 def fitted(rows: DataFrame):
@@ -54,7 +55,7 @@ def gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("batch_score")
 def batch_score_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = build_features(transactions(spark, sf_dir), spec=SPEC)
-    trained = train(rows, scratch_path(spark, "model"), SMALL)
+    trained = train(rows, scratch_path(spark, "model"), SMALL, latent_dim=3)
     path = scratch_path(spark, "submission")
     write_submission(batch_score(rows, trained), path)
     return read_csv(spark, path, "TransactionID bigint, isFraud int")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog.behaviour import COUNTS
 from riskloom.catalog.inputs import SCORED, SPEC, TX, scored, table, transactions
 from riskloom.catalog.registry import query
-from riskloom.functions import exact_mean, fixed_point
+from riskloom.functions import ascending, descending, exact_mean, fixed_point
 from riskloom.operators.behaviour import velocity_counts
 from riskloom.operators.columns import case_label, user_keys
 from riskloom.operators.joins import assemble, attach_scores, join_identity, update_from
@@ -97,7 +97,7 @@ def join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
 def join_agg_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer")
     joined = orders(spark, sf_dir).join(customer, F.col("o_custkey") == F.col("c_custkey"))
-    return joined.groupBy("c_name").agg(mean_of("o_totalprice").alias("avg_price")).orderBy(F.desc("avg_price"), "c_name")
+    return joined.groupBy("c_name").agg(mean_of("o_totalprice").alias("avg_price")).orderBy(descending("avg_price"), "c_name")
 
 
 @query("attach_scores", f"""WITH {SCORED} SELECT tx."TransactionID", "TransactionAmt", prob AS anomaly_score
@@ -145,7 +145,7 @@ def agg_where_having(spark: SparkSession, sf_dir: str) -> DataFrame:
   GROUP BY l_returnflag, l_linestatus ORDER BY avg_price""")
 def agg_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_linestatus")
-    return groups.agg(mean_of("l_extendedprice").alias("avg_price")).orderBy("avg_price")
+    return groups.agg(mean_of("l_extendedprice").alias("avg_price")).orderBy(ascending("avg_price"))
 
 
 @query("string_agg", """SELECT o_orderpriority, string_agg(o_orderstatus, ', ' ORDER BY o_orderstatus) AS statuses
@@ -226,19 +226,18 @@ def win_dense_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("sort_one", f"SELECT {ORDER_COLUMNS} FROM orders ORDER BY o_totalprice DESC")
 def sort_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders(spark, sf_dir).select(*ORDER_COLUMNS.split(", ")).orderBy(F.desc("o_totalprice"))
+    return orders(spark, sf_dir).select(*ORDER_COLUMNS.split(", ")).orderBy(descending("o_totalprice"))
 
 
 @query("sort_multi", f"SELECT {ORDER_COLUMNS} FROM orders ORDER BY o_orderpriority DESC, o_totalprice ASC")
 def sort_multi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """NULLs last when ascending and first when descending, as in the study queries' database."""
     rows = orders(spark, sf_dir).select(*ORDER_COLUMNS.split(", "))
-    return rows.orderBy(F.desc_nulls_first("o_orderpriority"), F.asc_nulls_last("o_totalprice"))
+    return rows.orderBy(descending("o_orderpriority"), ascending("o_totalprice"))
 
 
 @query("topk", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 3")
 def topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return orders(spark, sf_dir).select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(3)
+    return orders(spark, sf_dir).select("o_orderkey", "o_totalprice").orderBy(descending("o_totalprice"), "o_orderkey").limit(3)
 
 
 @query("time_sort", f"""WITH {TX} SELECT "TransactionID", "TransactionDT" FROM tx ORDER BY "TransactionDT", "TransactionID" """)

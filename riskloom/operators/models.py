@@ -15,9 +15,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.text import MISSING
+from riskloom.operators.columns import legit_rows
 from riskloom.operators.curves import average_precision
 from riskloom.operators.ordering import HOT_ROWS, SLICE_ROWS, Running, running
-from riskloom.operators.prep import HIGH_CARDINALITY, NumericScaling, fit_scaling
+from riskloom.operators.prep import HIGH_CARDINALITY, LevelEncoding, NumericScaling, fit_levels, fit_scaling, with_matrix
 
 
 @dataclass(frozen=True)
@@ -143,7 +144,7 @@ class ReconstructionModel:
         def length(vector: str) -> Column:
             return F.aggregate(vector_to_array(vector), F.lit(0.0), lambda acc, v: acc + v * v)
 
-        projected = self.pca.transform(df)
+        projected = self.pca.copy({self.pca.inputCol: features}).transform(df)
         error = F.greatest(F.lit(0.0), length(features) - length("_projected")) / F.lit(float(self.width))
         return projected.withColumn(name, error).drop("_projected")
 
@@ -154,6 +155,28 @@ def fit_reconstruction(legit: DataFrame, width: int, latent_dim: int = 61, featu
     return ReconstructionModel(PCA(k=k, inputCol=features, outputCol="_projected").fit(legit), width)
 
 
+@dataclass(frozen=True)
+class AnomalyModel:
+    """Encoding, scaling and reconstruction: adds a score to raw rows without a join."""
+
+    levels: LevelEncoding
+    scaling: NumericScaling
+    reconstruction: ReconstructionModel
+
+    def add(self, df: DataFrame, name: str = "anomaly_score") -> DataFrame:
+        scored = self.reconstruction.score(with_matrix(df, self.levels, self.scaling, "_matrix"), "_matrix", name)
+        return scored.drop("_matrix")
+
+
+def fit_anomaly(train: DataFrame, numbers: Sequence[str], texts: Sequence[str], latent_dim: int = 61,
+                label: str = "isFraud") -> AnomalyModel:
+    """Levels from train, scaling and components from its legit rows."""
+    levels, scaling = fit_levels(train, texts), fit_scaling(train, numbers, label)
+    width = len(levels.names) + len(scaling.names)
+    legit = with_matrix(legit_rows(train, label), levels, scaling, "_matrix").select("_matrix")
+    return AnomalyModel(levels, scaling, fit_reconstruction(legit, width, latent_dim, "_matrix"))
+
+
 def mean_square_score(columns: Sequence[str]) -> Column:
     """Reconstruction error of the empty projection: the mean squared z-score."""
     total = F.lit(0.0)

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.text import MISSING
@@ -49,11 +49,13 @@ class LevelEncoding:
             names.append(name if name not in names else f"{name}_{len(names)}")
         return names
 
+    def columns(self) -> list[Column]:
+        """One 0/1 float per level; unseen levels give all zeros."""
+        return [F.when(F.coalesce(F.col(c), F.lit(MISSING)) == v, 1.0).otherwise(0.0).cast("float") for c, v in self.pairs]
+
     def transform(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-        """``keep`` plus one 0/1 float per level; unseen levels give all zeros."""
-        return df.select(*keep, *[
-            F.when(F.coalesce(F.col(c), F.lit(MISSING)) == v, 1.0).otherwise(0.0).cast("float").alias(name)
-            for (c, v), name in zip(self.pairs, self.names)])
+        """``keep`` plus the dummies."""
+        return df.select(*keep, *[c.alias(name) for c, name in zip(self.columns(), self.names)])
 
 
 def fit_levels(train: DataFrame, names: Sequence[str] | None = None, limit: int = HIGH_CARDINALITY) -> LevelEncoding:
@@ -105,11 +107,14 @@ class NumericScaling:
     def impute(self, df: DataFrame) -> DataFrame:
         return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(m)) for c, m in self.means.items()})
 
+    def columns(self) -> list[Column]:
+        """z-score per column; a missing value sits at the mean."""
+        return [(F.coalesce(F.col(c).cast("double"), F.lit(m)) - F.lit(m)) / F.lit(self.deviations[c])
+                for c, m in self.means.items()]
+
     def transform(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
         """``keep`` plus the z-scores."""
-        return df.select(*keep, *[
-            ((F.coalesce(F.col(c).cast("double"), F.lit(m)) - F.lit(m)) / F.lit(self.deviations[c])).alias(c)
-            for c, m in self.means.items()])
+        return df.select(*keep, *[z.alias(c) for z, c in zip(self.columns(), self.names)])
 
 
 def fit_scaling(train: DataFrame, names: Sequence[str] | None = None, label: str = "isFraud") -> NumericScaling:
@@ -128,10 +133,16 @@ def fit_scaling(train: DataFrame, names: Sequence[str] | None = None, label: str
     return NumericScaling(means, deviations, tuple(c for c in names if c not in means))
 
 
+def with_matrix(df: DataFrame, levels: LevelEncoding, scaling: NumericScaling, output: str = "features") -> DataFrame:
+    """All columns plus one vector of dummies followed by z-scores; its names are ``levels.names + scaling.names``."""
+    kept = df.columns
+    entries = [*levels.columns(), *scaling.columns()]
+    temporary = [f"_entry_{i}" for i in range(len(entries))]
+    wide = df.select("*", *[e.alias(t) for e, t in zip(entries, temporary)])
+    return VectorAssembler(inputCols=temporary, outputCol=output).transform(wide).select(*kept, output)
+
+
 def numeric_matrix(df: DataFrame, levels: LevelEncoding, scaling: NumericScaling, keep: Sequence[str],
                    output: str = "features") -> DataFrame:
-    """``keep`` plus one vector of dummies followed by z-scores; names are ``levels.names + scaling.names``."""
-    scored = scaling.transform(df, [*keep, *levels.levels])
-    encoded = levels.transform(scored, [*keep, *scaling.names])
-    columns = [*levels.names, *scaling.names]
-    return VectorAssembler(inputCols=columns, outputCol=output).transform(encoded).select(*keep, output)
+    """``keep`` plus the vector."""
+    return with_matrix(df, levels, scaling, output).select(*keep, output)

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions import exact_mean, fixed_point
+from riskloom.functions import descending, exact_mean, fixed_point
 from riskloom.operators.joins import null_safe
 from riskloom.operators.ordering import (
     HOT_ROWS, SLICE_ROWS, HotKeys, Running, hot_keys, order_slices, sliced_running, split_hot)
@@ -17,7 +17,7 @@ KINDS = ("row_number", "rank", "dense_rank")
 
 def rank_within(df: DataFrame, by: Sequence[str], value: str, row_id: str, kind: str, name: str,
                 hot_rows: int = HOT_ROWS, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Rank rows of each group by descending value (ties by id for row_number)."""
+    """Rank rows of each group by descending value, NULL first (ties by id for row_number)."""
     if kind not in KINDS:
         raise ValueError(f"unknown rank: {kind}")
     hot = hot_keys(df, by, hot_rows)
@@ -29,21 +29,21 @@ def rank_within(df: DataFrame, by: Sequence[str], value: str, row_id: str, kind:
 
 
 def _plain_rank(df, by, value, row_id, kind, name) -> DataFrame:
-    order = [F.desc(value), F.asc(row_id)] if kind == "row_number" else [F.desc(value)]
+    order = [descending(value), F.asc(row_id)] if kind == "row_number" else [descending(value)]
     return df.withColumn(name, getattr(F, kind)().over(Window.partitionBy(*by).orderBy(*order)).cast("bigint"))
 
 
 def _sliced_rank(df, by, value, row_id, kind, name, hot: HotKeys, slice_rows: int) -> DataFrame:
     one = F.lit(1).cast("bigint")
     if kind == "row_number":
-        order = [F.desc(value), F.asc(row_id)]
+        order = [descending(value), F.asc(row_id)]
         cut = order_slices(df, [*by, *order], hot.rows, slice_rows=slice_rows)
         return sliced_running(cut, by, "_slice", order, [Running(name, "sum", one)]).drop("_slice")
     # Rows with equal values share their rank, so one row per value is enough.
     values = df.groupBy(*by, value).agg(F.count(one).alias("_n"))
-    cut = order_slices(values, [*by, F.desc(value)], hot.rows, slice_rows=slice_rows)
+    cut = order_slices(values, [*by, descending(value)], hot.rows, slice_rows=slice_rows)
     step = F.col("_n") if kind == "rank" else one
-    ranked = sliced_running(cut, by, "_slice", [F.desc(value)], [Running("_before", "sum", step, False)])
+    ranked = sliced_running(cut, by, "_slice", [descending(value)], [Running("_before", "sum", step, False)])
     ranked = ranked.select(*[F.col(c).alias(f"_r_{c}") for c in (*by, value)],
                            (F.coalesce("_before", F.lit(0)) + 1).cast("bigint").alias(name))
     joined = df.join(ranked, null_safe(df, ranked, {c: f"_r_{c}" for c in (*by, value)}))

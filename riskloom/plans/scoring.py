@@ -15,11 +15,16 @@ from riskloom.plans.training import TrainedModel
 
 def prepare(df: DataFrame, trained: TrainedModel, keep: Sequence[str]) -> DataFrame:
     """``keep`` plus the model's columns: absent ones are 0, numbers are cast, NULLs stay missing."""
-    wanted = [*trained.inputs.scaling.names, *trained.inputs.texts]
+    numbers, texts = set(trained.inputs.scaling.names), set(trained.inputs.texts)
+    if trained.anomaly:
+        numbers = (numbers | set(trained.anomaly.scaling.names)) - {"anomaly_score"}
+        texts |= set(trained.anomaly.levels.levels)
+    wanted = sorted(numbers | texts)
     missing = {c: F.lit(0) for c in wanted if c not in df.columns}
-    full = df.withColumns(missing) if missing else df
-    full = full.withColumns({c: F.col(c).cast("string") for c in trained.inputs.texts}) if trained.inputs.texts else full
-    return to_numeric(full.select(*dict.fromkeys([*keep, *wanted])), [c for c in trained.inputs.scaling.names if c not in keep])
+    full = df.withColumns(missing).select(*dict.fromkeys([*keep, *wanted]))
+    full = to_numeric(full, [c for c in wanted if c in numbers and c not in keep])
+    full = full.withColumns({c: F.col(c).cast("string") for c in wanted if c in texts})
+    return trained.anomaly.add(full) if trained.anomaly else full
 
 
 def score(df: DataFrame, trained: TrainedModel, keep: Sequence[str] = ("TransactionID",)) -> DataFrame:

@@ -6,17 +6,19 @@ from collections.abc import Sequence
 from dataclasses import asdict, dataclass
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import PCAModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.operators.columns import DROPPED_COLUMNS, numeric_columns, text_columns
 from riskloom.operators.curves import curve_points, pr_curve, split_report
-from riskloom.operators.models import TreeInputs, TreeParams, fit_tree_inputs, fit_trees, predict
-from riskloom.operators.prep import NumericScaling, fit_levels
-from riskloom.operators.splits import time_split
+from riskloom.operators.models import (
+    AnomalyModel, ReconstructionModel, TreeInputs, TreeParams, cross_validate, fit_anomaly, fit_tree_inputs, fit_trees, predict)
+from riskloom.operators.prep import LevelEncoding, NumericScaling, fit_levels
+from riskloom.operators.splits import stratified_folds, time_cuts
 from riskloom.operators.thresholds import BUSINESS_FP_TARGET, choose_threshold
 from riskloom.sources.metadata import add_meta, read_meta
-from riskloom.sources.sinks import write_splits
+from riskloom.sources.sinks import save_as, write_splits
 
 
 @dataclass(frozen=True)
@@ -24,24 +26,35 @@ class TrainedModel:
     model: PipelineModel
     inputs: TreeInputs
     threshold: float
+    anomaly: AnomalyModel | None = None
 
 
 def train(features: DataFrame, out: str, params: TreeParams = TreeParams(), strategy: str = "f1",
-          target: float = BUSINESS_FP_TARGET, label: str = "isFraud", row_id: str = "TransactionID",
-          time: str = "TransactionDT", drop: Sequence[str] = DROPPED_COLUMNS) -> TrainedModel:
-    """Split by time, fit on train with val as early stop, pick the threshold on val, store all of it."""
+          target: float = BUSINESS_FP_TARGET, latent_dim: int | None = None, folds: int = 0, label: str = "isFraud",
+          row_id: str = "TransactionID", time: str = "TransactionDT", drop: Sequence[str] = DROPPED_COLUMNS) -> TrainedModel:
+    """Split by time, fit on train with val as early stop, pick the threshold on val, store all of it below ``out``.
+
+    ``latent_dim`` adds the reconstruction error as a feature; ``folds`` adds a
+    cross validation over train and val.
+    """
     spark = features.sparkSession
-    write_splits(time_split(features, time=time, row_id=row_id), f"{out}/splits")
-    splits = spark.read.parquet(f"{out}/splits")
-    train_rows = splits.where("split = 'train'")
+    # The splits are read many times from here on, so the features are computed and written once.
+    rows = save_as(features, f"{out}/features")
+    cuts = time_cuts(rows, time=time, row_id=row_id)
+    used = [c for c in rows.columns if c not in drop]
+    texts, numbers = text_columns(rows.select(used)), numeric_columns(rows.select(used))
+    train_rows = rows.where(cuts.predicate("train"))
+    levels = fit_levels(train_rows, texts)
+    encoded = list(levels.levels)
 
-    used = [c for c in splits.columns if c not in (*drop, "split")]
-    levels = fit_levels(train_rows, [c for c in text_columns(splits.select(used))])
-    numbers = numeric_columns(splits.select(used))
-    inputs = fit_tree_inputs(train_rows, numbers, tuple(levels.levels), label)
+    anomaly = fit_anomaly(train_rows, numbers, encoded, latent_dim, label) if latent_dim else None
+    enriched = anomaly.add(rows) if anomaly else rows
+    write_splits(enriched.withColumn("split", cuts.label()), f"{out}/splits")
+    splits = spark.read.parquet(f"{out}/splits")
 
-    fitting = splits.where("split <> 'test'").withColumn("_is_val", F.col("split") == "val")
-    model = fit_trees(fitting, inputs, params, label, validation="_is_val")
+    inputs = fit_tree_inputs(splits.where("split = 'train'"), [*numbers, *(["anomaly_score"] if anomaly else [])], encoded, label)
+    fitting = splits.where("split <> 'test'")
+    model = fit_trees(fitting.withColumn("_is_val", F.col("split") == "val"), inputs, params, label, validation="_is_val")
     model.write().overwrite().save(f"{out}/model")
 
     predict(model, inputs, splits, [row_id, label, "split"]).write.mode("overwrite").partitionBy("split").parquet(f"{out}/scores")
@@ -49,15 +62,30 @@ def train(features: DataFrame, out: str, params: TreeParams = TreeParams(), stra
     curve = pr_curve(curve_points(scores.where("split = 'val'"), label=label))
     threshold = choose_threshold(curve, strategy, target).first()["threshold"]
     split_report(scores, threshold, label=label, target_fpr=target).write.mode("overwrite").parquet(f"{out}/report")
-    add_meta(spark, f"{out}/meta", {
-        "original_features": used, "text_columns": list(inputs.texts), "dropped_columns": list(levels.dropped),
-        "means": dict(inputs.scaling.means), "deviations": dict(inputs.scaling.deviations),
-        "best_threshold": threshold, "params": asdict(params)})
-    return TrainedModel(model, inputs, threshold)
+
+    entries = {"original_features": used, "text_columns": encoded, "dropped_columns": list(levels.dropped),
+               "means": dict(inputs.scaling.means), "deviations": dict(inputs.scaling.deviations),
+               "best_threshold": threshold, "params": asdict(params), "anomaly": None}
+    if anomaly:
+        anomaly.reconstruction.pca.write().overwrite().save(f"{out}/reconstruction")
+        entries["anomaly"] = {"levels": {c: list(v) for c, v in anomaly.levels.levels.items()}, "means": dict(anomaly.scaling.means),
+                              "deviations": dict(anomaly.scaling.deviations), "width": anomaly.reconstruction.width}
+    if folds:
+        folded = save_as(stratified_folds(fitting, folds, label=label, row_id=row_id), f"{out}/folds")
+        quality = cross_validate(folded, inputs, params, folds, label, row_id=row_id)
+        entries["cv_pr_auc"] = quality.agg(F.avg("pr_auc")).first()[0]
+    add_meta(spark, f"{out}/meta", entries)
+    return TrainedModel(model, inputs, threshold, anomaly)
 
 
 def load_trained(spark: SparkSession, out: str) -> TrainedModel:
     meta = read_meta(spark, f"{out}/meta")
     scaling = NumericScaling(meta["means"], meta["deviations"], ())
+    anomaly = None
+    if stored := meta["anomaly"]:
+        anomaly = AnomalyModel(
+            LevelEncoding({c: tuple(v) for c, v in stored["levels"].items()}, ()),
+            NumericScaling(stored["means"], stored["deviations"], ()),
+            ReconstructionModel(PCAModel.load(f"{out}/reconstruction"), stored["width"]))
     return TrainedModel(PipelineModel.load(f"{out}/model"), TreeInputs(scaling, tuple(meta["text_columns"])),
-                        meta["best_threshold"])
+                        meta["best_threshold"], anomaly)

@@ -11,6 +11,7 @@ from riskloom.operators.curves import average_precision
 from riskloom.operators.splits import stratified_folds
 from riskloom.plans.scoring import batch_score, score
 from riskloom.plans.training import load_trained, train
+from riskloom.sources.metadata import read_meta
 from riskloom.sources.sinks import read_split
 
 SMALL = models.TreeParams(rounds=3, max_depth=2, min_data_in_leaf=5)
@@ -58,8 +59,11 @@ def test_cross_validation(table):
     assert [r["fold"] for r in found] == [0, 1, 2] and all(r["pr_auc"] > 0.7 for r in found)
 
 
-def test_pipeline_end_to_end(spark, table, tmp_path):
-    trained = train(table, str(tmp_path), SMALL)
+@pytest.mark.parametrize("latent_dim", [None, 2], ids=["trees", "anomaly_and_trees"])
+def test_pipeline_end_to_end(spark, table, tmp_path, latent_dim):
+    trained = train(table, str(tmp_path), SMALL, latent_dim=latent_dim, folds=0 if latent_dim else 2)
+    assert ("anomaly_score" in trained.inputs.scaling.names) == bool(latent_dim)
+    assert latent_dim or read_meta(spark, f"{tmp_path}/meta")["cv_pr_auc"] > 0.7
     assert trained.inputs.texts == ("kind",)  # 'wide' has too many levels
     assert read_split(spark, f"{tmp_path}/splits", "val").count() == 60
     report = {r["split"]: r for r in spark.read.parquet(f"{tmp_path}/report").collect()}
@@ -68,6 +72,8 @@ def test_pipeline_end_to_end(spark, table, tmp_path):
     assert again.threshold == trained.threshold
     a, b = (sorted(tuple(r) for r in batch_score(table, t).collect()) for t in (trained, again))
     assert a == b and {r[1] for r in a} == {0, 1}
+    stored = spark.read.parquet(f"{tmp_path}/scores").select("TransactionID", F.col("prob").alias("stored"))
+    assert score(table, again).join(stored, "TransactionID").where("abs(prob - stored) > 1e-12").count() == 0
     # Absent columns count as 0, unreadable numbers as missing.
     partial = table.drop("noise").withColumn("x", F.when(F.col("TransactionID") < 5, "?").otherwise(F.col("x").cast("string")))
     assert score(partial, again).where("prob IS NULL").count() == 0
