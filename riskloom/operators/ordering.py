@@ -170,8 +170,9 @@ def keys_at(df: DataFrame, order: Sequence[str], positions: Sequence[int], low:
 
     Narrows a value range by counting rows per equal cell, so nothing is sorted
     and a pass shuffles no more than ``cells`` counts per task; the filters of
-    later passes reach the scan. ``low`` and ``high`` bound the first column.
-    ``order`` must be unique; passes per column are log(range) / log(cells).
+    later passes reach the scan. A cell of at most ``cells`` rows is read out.
+    ``low`` and ``high`` bound the first column. ``order`` must be unique; passes
+    per column are at most log(range) / log(cells).
     """
     seen: dict[tuple, list] = {}
     return [_key_at(df, order, p, low, high, cells, seen) for p in positions]
@@ -196,6 +197,10 @@ def _key_at(df: DataFrame, order: Sequence[str], position: int, low: int, high:
                     break
                 position -= row["n"]
             low, high = low + row["cell"] * width, min(high, low + (row["cell"] + 1) * width - 1)
+            if row["n"] <= cells:
+                rest = order[len(found):]
+                few = scope.where(F.col(name).between(low, high)).select(*rest).orderBy(*rest).collect()
+                return (*found, *few[position])
             bounds = (row["low"], row["high"]) if following and low == high else None
         found.append(low)
         if following:
