@@ -85,11 +85,11 @@ def thr_business(spark: SparkSession, sf_dir: str) -> DataFrame:
     return thresholds.business_threshold(curves.pr_curve(points(spark, sf_dir)), 0.05)
 
 
-# The complement of the label with its score turned round is as hard to reach as precision gets here.
-HARD = POINTS.replace('(cents % 997 + "isFraud" * 400) / CAST(1400.0 AS DOUBLE)', "(cents % 997) / CAST(1400.0 AS DOUBLE)")
+# The score without the part that leans towards the label.
+BLIND = POINTS.replace('(cents % 997 + "isFraud" * 400) / CAST(1400.0 AS DOUBLE)', "(cents % 997) / CAST(1400.0 AS DOUBLE)")
 
 
-@query("thr_business_fallback", f"WITH {HARD} {BUSINESS.format(0.000001)}")
+@query("thr_business_fallback", f"WITH {BLIND} {BUSINESS.format(0.000001)}")
 def thr_business_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A score that knows nothing of the label: the target precision may be out of reach, then F1 decides."""
     rows = transactions(spark, sf_dir)

@@ -36,7 +36,11 @@ SLICE_SECONDS = 86_400
 
 @dataclass(frozen=True)
 class FeatureSpec:
-    """Column names and parameters. ``time`` counts whole seconds; ``id`` is unique; both are never NULL."""
+    """Column names and parameters.
+
+    ``time`` counts whole seconds and ``id`` is unique; both are never NULL.
+    Sums and deviations take amounts to ``amount_scale`` decimals.
+    """
 
     id: str = "TransactionID"
     time: str = "TransactionDT"
@@ -76,7 +80,7 @@ def behaviour(df: DataFrame, spec: FeatureSpec = FeatureSpec(), parts: Iterable[
     wanted = tuple(parts)
     if unknown := set(wanted) - set(ALL_PARTS):
         raise ValueError(f"unknown feature parts: {sorted(unknown)}")
-    hot = hot_keys(counted or df, [spec.key], spec.hot_rows)
+    hot = hot_keys(df if counted is None else counted, [spec.key], spec.hot_rows)
     if hot is None:
         return _by_user(df, spec, wanted)
     cold, heavy = split_hot(df, [spec.key], hot)

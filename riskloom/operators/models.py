@@ -262,7 +262,7 @@ def early_stopping(losses: DataFrame, patience: int = 5, run: str = "run", step:
     """
     lowest = running(losses.select(run, step, loss), [run], [step], [Running("_best", "min", F.col(loss))], hot_rows, slice_rows)
     reached = F.when(F.col(loss) == F.col("_best"), F.col(step))
-    gaps = running(lowest, [run], [step], [Running("_at", "max", reached)], hot_rows, slice_rows)
+    gaps = running(lowest, [run], [step], [Running("_at", "max", reached)], hot_rows, slice_rows, counted=losses)
     stop = F.col(step) - F.col("_at") >= patience
     return gaps.groupBy(run).agg(
         F.count(F.lit(1)).alias("n_steps"), F.min(F.when(stop, F.col(step))).alias("stop_step"),

@@ -153,9 +153,12 @@ def sliced_running(df: DataFrame, by: Sequence[str], slice_col: str, order: Sequ
 
 
 def running(df: DataFrame, by: Sequence[str], order: Sequence[str], items: Sequence[Running],
-            hot_rows: int = HOT_ROWS, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Running aggregates per key in ascending ``order`` (which must be unique per key)."""
-    hot = hot_keys(df, by, hot_rows)
+            hot_rows: int = HOT_ROWS, slice_rows: int = SLICE_ROWS, counted: DataFrame | None = None) -> DataFrame:
+    """Running aggregates per key in ascending ``order`` (which must be unique per key).
+
+    ``counted`` may name a cheaper frame with the same keys to count.
+    """
+    hot = hot_keys(df if counted is None else counted, by, hot_rows)
     if hot is None:
         return plain_running(df, by, order, items)
     cold, heavy = split_hot(df, by, hot)
