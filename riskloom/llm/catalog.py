@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import token_files
+from riskloom.llm import quality, token_files
 from riskloom.llm.text import table
 
 QUERIES = {}
@@ -29,3 +29,10 @@ def tokenizer_path() -> str:
 def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as read back from the sequence files it was written to."""
     return token_files.encode_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op3_quality")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics and verdict of every document, by trees fitted on the labelled ones."""
+    docs = table(spark, sf_dir, "documents")
+    return quality.judge(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
