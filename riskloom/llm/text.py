@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,10 +37,9 @@ def utf8(column: Column) -> Column:
 def pieces(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded rows and, but for single long texts, bounded bytes of ``column``."""
     for batch in batches:
-        lengths = pa.compute.binary_length(batch.column(column)).to_numpy(zero_copy_only=False)
+        lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
-        for i, n in enumerate(lengths.tolist()):
-            n = int(n or 0)
+        for i, n in enumerate(lengths):
             if i > start and (i - start >= PIECE_ROWS or held + n > PIECE_BYTES):
                 yield batch.slice(start, i - start)
                 start, held = i, 0

@@ -3,9 +3,10 @@
 ``write_sequences`` tokenises documents in ascending id order and writes one
 Arrow IPC file per range of ids. A file holds record batches of
 
-    ids      fixed_size_list<uint32>[length]   token ids
-    mask     fixed_size_list<uint8>[length]    0 padding, 1 token, 2 last token of a document
-    doc_ids  list<int64>                       ids of the documents that end in the sequence, in order
+    ids      fixed_size_list<uint16 or uint32>[length]   token ids, 16 bits if the vocabulary allows
+    mask     fixed_size_list<bool>[length]               false where the sequence is padded
+    doc_ids  list<int64>                                 documents that end in the sequence, in order
+    ends     list<int32>                                 place of the last token of each of them
 
 so sequence ``i`` is a slice at a fixed offset of a memory-mapped file
 (``sequences``). Documents run on across sequences; only the last sequence of a
@@ -52,8 +53,6 @@ MARKS = b".,!?;:*$%&#|"
 MARK = byte_table(lambda b: b in MARKS)
 LETTER = byte_table(lambda b: b < 0x80 and chr(b).isalpha())
 
-TOKEN, LAST, PADDING = 1, 2, 0
-
 
 class WordCache:
     """Token ids of texts, each distinct word encoded once per worker.
@@ -70,6 +69,7 @@ class WordCache:
     def __init__(self, path: str, size: int = CACHE_WORDS):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.vocabulary = self.tokenizer.get_vocab_size()
         self.by_word = drops_space(json.loads(self.tokenizer.to_str()))
         self.size = size
         self._forget()
@@ -190,19 +190,22 @@ def word_cache(path: str) -> WordCache:
     return _CACHES[path]
 
 
-def file_schema(length: int) -> pa.Schema:
-    return pa.schema([pa.field("ids", pa.list_(pa.field("item", pa.uint32(), False), length), False),
-                      pa.field("mask", pa.list_(pa.field("item", pa.uint8(), False), length), False),
-                      pa.field("doc_ids", pa.list_(pa.int64()), False)])
+def file_schema(length: int, vocabulary: int) -> pa.Schema:
+    kind = pa.uint16() if vocabulary <= 1 << 16 else pa.uint32()
+    return pa.schema([pa.field("ids", pa.list_(pa.field("item", kind, False), length), False),
+                      pa.field("mask", pa.list_(pa.field("item", pa.bool_(), False), length), False),
+                      pa.field("doc_ids", pa.list_(pa.int64()), False), pa.field("ends", pa.list_(pa.int32()), False)])
 
 
 class SequenceWriter:
     """Packs the ids of documents into fixed-length sequences of one file."""
 
-    def __init__(self, sink, length: int, batch_sequences: int = BATCH_SEQUENCES):
-        self.schema = file_schema(length)
-        self.out = pa.ipc.new_file(sink, self.schema)
-        self.length, self.step = length, length * batch_sequences
+    def __init__(self, sink, schema: pa.Schema, batch_sequences: int = BATCH_SEQUENCES):
+        self.schema = schema
+        self.out = pa.ipc.new_file(sink, schema)
+        self.length = schema.field("ids").type.list_size
+        self.kind = schema.field("ids").type.value_type.to_pandas_dtype()
+        self.step = self.length * batch_sequences
         self.parts: list[np.ndarray] = []
         self.ends: list[int] = []  # places of last tokens, counted from the first id held
         self.names: list[int | None] = []
@@ -223,17 +226,16 @@ class SequenceWriter:
         flat = np.concatenate(self.parts)
         here = int(np.searchsorted(self.ends, n))
         rows = -(-n // self.length)
-        ids = np.zeros(rows * self.length, "<u4")
-        mask = np.zeros(rows * self.length, np.uint8)
-        ids[:min(n, len(flat))], mask[:n] = flat[:n], TOKEN
+        ids = np.zeros(rows * self.length, self.kind)
+        ids[:n] = flat[:n]
+        mask = np.arange(rows * self.length) < n
         ends = np.array(self.ends[:here], np.int64)
-        mask[ends] = LAST
-        offsets = np.searchsorted(ends // self.length, np.arange(rows + 1)).astype(np.int32)
-        names = pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.names[:here], pa.int64()))
-        kinds = [f.type for f in self.schema]
-        whole = pa.record_batch([pa.FixedSizeListArray.from_arrays(pa.array(ids), type=kinds[0]),
-                                 pa.FixedSizeListArray.from_arrays(pa.array(mask), type=kinds[1]), names],
-                                schema=self.schema)
+        offsets = pa.array(np.searchsorted(ends // self.length, np.arange(rows + 1)).astype(np.int32))
+        whole = pa.record_batch(
+            [pa.FixedSizeListArray.from_arrays(pa.array(ids), type=self.schema.field("ids").type),
+             pa.FixedSizeListArray.from_arrays(pa.array(mask), type=self.schema.field("mask").type),
+             pa.ListArray.from_arrays(offsets, pa.array(self.names[:here], pa.int64())),
+             pa.ListArray.from_arrays(offsets, pa.array((ends % self.length).astype(np.int32)))], schema=self.schema)
         for first in range(0, rows, self.step // self.length):
             self.out.write_batch(whole.slice(first, self.step // self.length))
         self.parts, self.held = [flat[n:].copy()], len(flat) - n
@@ -280,7 +282,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str | None = None,
                 path = f"{folder.rstrip('/')}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
                 system, inner = _file_system(path)
                 sink = system.open_output_stream(inner)
-                target = SequenceWriter(sink, length)
+                target = SequenceWriter(sink, file_schema(length, words.vocabulary))
             ids, bounds = words.texts(piece.column("_text"))
             for name, a, b in zip(piece.column("_id").to_pylist(), bounds.tolist(), bounds[1:].tolist()):
                 target.add(name, ids[a:b], end_id)
@@ -312,24 +314,24 @@ def sequences(path: str) -> pa.Table:
 
 
 def file_documents(path: str) -> Iterator[tuple[list, list[bytes]]]:
-    """Per record batch of a file: (document ids, their token ids as bytes) of the documents that end in it."""
+    """Per record batch of a file: (document ids, their token ids as 32-bit bytes) of the documents that end in it."""
     system, inner = _file_system(path)
     with system.open_input_file(inner) as source:
         reader = pa.ipc.open_file(source)
         open_part: list[bytes] = []  # of a document that began in an earlier batch
         for i in range(reader.num_record_batches):
             batch = reader.get_batch(i)
-            mask = batch.column(1).flatten().to_numpy()
-            ids = batch.column(0).flatten().to_numpy()
-            filled = int(np.count_nonzero(mask))
-            raw = memoryview(np.ascontiguousarray(ids[:filled], "<u4")).cast("B")
+            length = batch.schema.field("ids").type.list_size
+            filled = batch.column("mask").flatten().true_count  # padding stands last
+            raw = memoryview(batch.column("ids").flatten().to_numpy()[:filled].astype("<u4")).cast("B")
+            row = np.repeat(np.arange(batch.num_rows), batch.column("ends").value_lengths().to_numpy())
             found, begin = [], 0
-            for end in (np.flatnonzero(mask == LAST) + 1).tolist():
+            for end in (row * length + batch.column("ends").flatten().to_numpy() + 1).tolist():
                 found.append(b"".join([*open_part, raw[4 * begin:4 * end]]))
                 open_part, begin = [], end
             if begin < filled:
                 open_part.append(bytes(raw[4 * begin:]))
-            yield batch.column(2).flatten().to_pylist(), found
+            yield batch.column("doc_ids").flatten().to_pylist(), found
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
