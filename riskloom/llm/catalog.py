@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import quality, token_files
+from riskloom.llm import decontam, quality, token_files
 from riskloom.llm.text import table
 
 QUERIES = {}
@@ -36,3 +36,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics and verdict of every document, by trees fitted on the labelled ones."""
     docs = table(spark, sf_dir, "documents")
     return quality.judge(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+
+
+@query("op9_decontamination")
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark hits of every document."""
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
