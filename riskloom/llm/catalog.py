@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontam, quality, token_files
+from riskloom.llm import decontam, quality, simhash, token_files
 from riskloom.llm.text import table
 
 QUERIES = {}
@@ -42,3 +42,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark hits of every document."""
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op2_simhash")
+def simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
