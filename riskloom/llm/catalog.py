@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontam, quality, simhash, token_files
+from riskloom.llm import decontam, mixing, quality, simhash, token_files
 from riskloom.llm.text import table
 
 QUERIES = {}
@@ -48,3 +48,9 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op4_source_mix")
+def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document by the mix."""
+    return mixing.mix_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
