@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontam, mixing, quality, simhash, token_files
+from riskloom.llm import decontam, mixing, quality, simhash, token_files, urls
 from riskloom.llm.text import table
 
 QUERIES = {}
@@ -54,3 +54,9 @@ def simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words taken of every document by the mix."""
     return mixing.mix_report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op10_url_filter")
+def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's url."""
+    return urls.judge(table(spark, sf_dir, "pages"))
