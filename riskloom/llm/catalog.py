@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontam, mixing, quality, simhash, token_files, urls
+from riskloom.llm import decontam, mixing, ppm, quality, simhash, token_files, urls
 from riskloom.llm.text import table
 
 QUERIES = {}
@@ -60,3 +60,9 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     return urls.judge(table(spark, sf_dir, "pages"))
+
+
+@query("op1_ppm_score")
+def ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and trie score of every document."""
+    return ppm.score(table(spark, sf_dir, "documents"))
