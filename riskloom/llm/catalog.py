@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontam, mixing, ppm, quality, simhash, token_files, urls
+from riskloom.llm import decontam, mixing, paragraphs, ppm, quality, simhash, token_files, urls
 from riskloom.llm.text import table
 
 QUERIES = {}
@@ -66,3 +66,9 @@ def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unigram base and trie score of every document."""
     return ppm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op6_paragraphs")
+def repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph that repeats another, with its class."""
+    return paragraphs.repeats(table(spark, sf_dir, "documents"))
