@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontam, mixing, paragraphs, ppm, quality, simhash, token_files, urls
+from riskloom.llm import decontam, licenses, mixing, paragraphs, ppm, quality, simhash, token_files, urls
 from riskloom.llm.text import table
 
 QUERIES = {}
@@ -72,3 +72,9 @@ def ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every paragraph that repeats another, with its class."""
     return paragraphs.repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op7_licenses", licenses.scan_sql())
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
