@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, licenses, mixing, paragraphs, ppm, quality, simhash, token_files, urls
+from riskloom.llm import decontam, licenses, mixing, paragraphs, ppm, quality, rollups, simhash, token_files, urls
 from riskloom.llm.text import table
+from riskloom.session import scratch_path, written
 
 QUERIES = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +80,49 @@ def repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """License notices in every document."""
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
+
+
+ALNUM_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
+
+
+@query("op5_token_rollups", r"""
+    WITH counted AS (
+        SELECT doc_id, source, lang, len(regexp_extract_all(coalesce(text, ''), '[0-9A-Za-z\x{80}-\x{10FFFF}]+')) AS words,
+               strlen(coalesce(text, '')) AS bytes, text IS NOT NULL AND EXISTS (
+                   SELECT 1 FROM documents e WHERE e.text = d.text AND e.doc_id < d.doc_id) AS copy
+        FROM documents d),
+    alive AS (SELECT * FROM counted WHERE NOT copy)
+    SELECT source, lang, 'words-1' AS tokenizer_version, CAST(count(*) AS BIGINT) AS n_docs,
+           CAST(sum(words) AS BIGINT) AS n_tokens FROM alive GROUP BY source, lang
+    UNION ALL
+    SELECT source, lang, 'bytes-2', CAST(count(*) AS BIGINT), CAST(sum(bytes) AS BIGINT) FROM alive GROUP BY source, lang""")
+def token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after four batches over all documents, one of them delivered twice.
+
+    All documents are inserted with their white-space words, revised to the
+    words of letters and digits, exact copies of earlier documents deleted, and
+    what is left inserted under a second tokenizer version.
+    """
+    text = F.coalesce("text", F.lit(""))
+    counted = written(table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", mixing.word_count(text).alias("spaced"),
+        F.regexp_count(text, F.lit(ALNUM_WORD)).cast("bigint").alias("words"),
+        F.octet_length(text).cast("bigint").alias("bytes"), F.sha2(F.col("text").cast("binary"), 256).alias("digest")), "counted")
+    first = counted.where("digest IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("first_id"))
+    marked = written(counted.join(first, "digest", "left").withColumn(
+        "copy", F.coalesce(F.col("first_id") < F.col("doc_id"), F.lit(False))), "marked")
+
+    def changes(rows: DataFrame, version: str, old: Column, new: Column) -> DataFrame:
+        return rows.select("source", "lang", F.lit(version).alias("tokenizer_version"),
+                           old.cast("bigint").alias("old_tokens"), new.cast("bigint").alias("new_tokens"))
+
+    none, alive = F.lit(None), marked.where(~F.col("copy"))
+    revised = changes(marked.where("spaced <> words"), "words-1", F.col("spaced"), F.col("words"))
+    store = scratch_path(spark, "rollups")
+    rollups.commit(store, "0001-insert", changes(marked, "words-1", none, F.col("spaced")))
+    rollups.commit(store, "0002-revise", revised)
+    rollups.commit(store, "0003-delete", changes(marked.where("copy"), "words-1", F.col("words"), none))
+    rollups.compact(spark, store)
+    rollups.commit(store, "0002-revise", revised)
+    rollups.commit(store, "0004-insert", changes(alive, "bytes-2", none, F.col("bytes")))
+    return rollups.totals(spark, store)
