@@ -13,8 +13,9 @@ Neither the trie nor the word counts are broadcast or collected, both grow with
 the corpus:
 
 1. Documents are dealt into chunks of about ``CHUNK_BYTES``. A chunk names its
-   distinct (context, byte) strings and words with their training counts.
-2. Counts are summed by string. Tasks that own all strings sharing their last
+   distinct (context, byte) strings and words, these by a 64-bit hash, with their
+   training counts.
+2. Counts are summed by string or word. Tasks that own all strings sharing their last
    ``OWNED`` context bytes turn counts into code lengths: the longer contexts
    are theirs alone, those of up to two bytes come from a table of at most
    256 ** 3 entries (12 bytes each), the only broadcast.
@@ -31,6 +32,7 @@ empty result. Only the id and text columns are read.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,9 +47,9 @@ from riskloom.session import parallelism, written
 
 ORDER = 5
 OWNED = 3
-CHUNK_BYTES = 24 << 20
-# Chunks are smaller where that keeps all tasks busy, but not below this.
-LEAST_CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 32 << 20
+# Small corpora still make some chunks, of this size at least.
+LEAST_CHUNKS, LEAST_CHUNK_BYTES = 8, 1 << 20
 BLOCK = 1 << 20
 LN10 = float(np.log(10.0))
 # Marks the end token among the word hashes of a chunk.
@@ -120,21 +122,12 @@ def _gram_counts(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return _summed([seen, other], [n.astype(np.int64), np.zeros(len(other), np.int64)])
 
 
-def _word_counts(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, Words]:
-    """(hash, training count, place of a first occurrence) of the distinct words of a piece."""
+def _word_counts(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, training count) of the distinct words of a piece."""
     words = split(piece.column("text"), NOT_WHITE, lower=True)
-    keys = hashes(words.data, words.starts, words.ends)
-    unique, first, number = np.unique(keys, return_index=True, return_inverse=True)
+    unique, number = np.unique(hashes(words.data, words.starts, words.ends), return_inverse=True)
     train = ~piece.column("held_out").to_numpy(zero_copy_only=False)[words.text_of()]
-    return unique, np.bincount(number, train, len(unique)).astype(np.int64), first, words
-
-
-def _binary(words: Words, places: np.ndarray) -> pa.Array:
-    lengths = words.ends[places] - words.starts[places]
-    offsets = np.concatenate([[0], np.cumsum(lengths)])
-    source = np.repeat(words.starts[places] - offsets[:-1], lengths) + np.arange(int(offsets[-1]))
-    return pa.BinaryArray.from_buffers(pa.binary(), len(places), [
-        None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(words.data[source])])
+    return unique, np.bincount(number, train, len(unique)).astype(np.int64)
 
 
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch | None]]:
@@ -152,40 +145,25 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBat
         yield current, None
 
 
-def _ask_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    keys, counts = [], []
+def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(chunk, is_gram, key, n): the distinct strings and words of each chunk."""
+    held = {True: ([], []), False: ([], [])}
+    count = {True: _gram_counts, False: _word_counts}
     for chunk, piece in _runs(batches):
-        if piece is not None:
-            k, n = _gram_counts(piece)
-            keys.append(k), counts.append(n)
-            if len(keys) < 8:
+        for is_gram, (keys, counts) in held.items():
+            if piece is not None:
+                k, n = count[is_gram](piece)
+                keys.append(k), counts.append(n)
+                if len(keys) < 8:
+                    continue
+            k, n = _summed(keys, counts)
+            if piece is not None:
+                held[is_gram] = [k], [n]
                 continue
-        k, n = _summed(keys, counts)
-        keys, counts = [k], [n]
-        if piece is None:
-            keys, counts = [], []
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), chunk, np.int64)), pa.array(k.view(np.int64)),
-                                              pa.array(n)], ["chunk", "gram", "n"])
-
-
-def _ask_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[np.ndarray, np.ndarray]] = []
-    known, texts = np.zeros(0, np.uint64), []
-    for chunk, piece in _runs(batches):
-        if piece is not None:
-            unique, n, first, words = _word_counts(piece)
-            held.append((unique, n))
-            at = np.minimum(np.searchsorted(known, unique), max(len(known) - 1, 0))
-            new = known[at] != unique if len(known) else np.ones(len(unique), bool)
-            texts.append((unique[new], _binary(words, first[new])))
-            known = np.union1d(known, unique[new])
-            continue
-        keys, n = _summed([k for k, _ in held], [c for _, c in held])
-        order = np.argsort(np.concatenate([k for k, _ in texts]), kind="stable")
-        word = pa.chunked_array([t for _, t in texts], pa.binary()).combine_chunks().take(pa.array(order))
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), chunk, np.int64)), word,
-                                          pa.array(keys.view(np.int64)), pa.array(n)], ["chunk", "word", "hash", "n"])
-        held, known, texts = [], np.zeros(0, np.uint64), []
+            held[is_gram] = [], []
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(k), chunk, np.int32)), pa.array(np.full(len(k), is_gram)),
+                 pa.array(k.view(np.int64)), pa.array(n)], ["chunk", "is_gram", "key", "n"])
 
 
 # ---- the trie -----------------------------------------------------------------------------------------------
@@ -361,6 +339,12 @@ def _value(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarr
     return out
 
 
+def release(spark) -> None:
+    """Lets Spark's cleaner drop the shuffle files of jobs that are done."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", chunk_bytes: int = CHUNK_BYTES,
           learn: Column | None = None) -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every document.
@@ -370,28 +354,29 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     spark = docs.sparkSession
     out_of = held_out(F.col(id_column)) if learn is None else ~F.coalesce(learn, F.lit(False))
     size = docs.agg(F.sum(F.octet_length(F.col(text_column).cast("string")).cast("bigint"))).first()[0] or 0
-    chunks = max(1, -(-size // chunk_bytes), min(parallelism(spark), -(-size // LEAST_CHUNK_BYTES)))
+    chunks = max(1, -(-size // chunk_bytes), min(LEAST_CHUNKS, -(-size // LEAST_CHUNK_BYTES)))
     dealt = docs.select(
-        F.pmod(F.xxhash64(F.col(id_column), F.col(text_column)), F.lit(chunks)).cast("bigint").alias("chunk"),
+        F.pmod(F.xxhash64(F.col(id_column), F.col(text_column)), F.lit(chunks)).cast("int").alias("chunk"),
         F.col(id_column).alias("id"), out_of.alias("held_out"), utf8(F.col(text_column).cast("string")).alias("text"))
-    # Both requests read the same exchange.
-    dealt = dealt.repartition(max(chunks, parallelism(spark)), "chunk")
-    by_chunk = dealt.sortWithinPartitions("chunk")
-    grams_asked = written(by_chunk.mapInArrow(_ask_grams, "chunk bigint, gram bigint, n bigint"), "grams")
-    words_asked = written(by_chunk.mapInArrow(_ask_words, "chunk bigint, word binary, hash bigint, n bigint"), "words")
+    by_chunk = dealt.repartition(max(chunks, parallelism(spark)), "chunk").sortWithinPartitions("chunk")
+    asked = written(by_chunk.mapInArrow(_ask, "chunk int, is_gram boolean, key bigint, n bigint"), "asked")
+    release(spark)
+    grams_asked = asked.where("is_gram").select("chunk", F.col("key").alias("gram"), "n")
+    words_asked = asked.where("NOT is_gram").select("chunk", F.col("key").alias("word"), "n")
 
     costs = written(trie(grams_asked.groupBy("gram").agg(F.sum("n").alias("n"))), "trie")
     counts = written(words_asked.groupBy("word").agg(F.sum("n").alias("c")), "counts")
     sums = counts.agg(F.sum("c").alias("tokens"), F.sum((F.col("c") > 0).cast("int")).alias("types")).first()
     trained = docs.where(~out_of).count()
     tokens, types = int(sums["tokens"] or 0) + trained, int(sums["types"] or 0) + (trained > 0)
+    release(spark)
 
-    answers = (grams_asked.join(costs, "gram").select("chunk", F.lit(True).alias("is_gram"), F.col("gram").alias("key"),
-                                                      F.col("cost").alias("value"))
-               .unionByName(words_asked.join(counts, "word").select(
-                   "chunk", F.lit(False).alias("is_gram"), F.col("hash").alias("key"), F.col("c").cast("double").alias("value")))
+    answers = (grams_asked.select("chunk", "gram").join(costs, "gram").select(
+                   "chunk", F.lit(True).alias("is_gram"), F.col("gram").alias("key"), F.col("cost").alias("value"))
+               .unionByName(words_asked.select("chunk", "word").join(counts, "word").select(
+                   "chunk", F.lit(False).alias("is_gram"), F.col("word").alias("key"), F.col("c").cast("double").alias("value")))
                .unionByName(spark.range(chunks).select(
-                   F.col("id").alias("chunk"), F.lit(False).alias("is_gram"), F.lit(0).cast("bigint").alias("key"),
+                   F.col("id").cast("int").alias("chunk"), F.lit(False).alias("is_gram"), F.lit(0).cast("bigint").alias("key"),
                    F.lit(float(trained)).alias("value"))))
     kind = dealt.schema["id"].dataType.simpleString()
     scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
