@@ -196,11 +196,10 @@ def merge(ranges: list) -> list[tuple[int, int]]:
 
 def scan(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", item_column: str = "item_id",
          benchmark_text: str = "text", width: int = WIDTH, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The documents with _n_words, _spans (hit ranges of words) and _items (ids as sorted text)."""
-    out, kept = docs, docs.columns
-    if {"_n_words", "_spans", "_items"} & {c.lower() for c in kept}:
-        raise ValueError("the documents already have columns _n_words, _spans or _items")
-    place = kept.index(text_column)
+    """The documents, columns named c0, c1, ..., with _n_words, _spans (hit ranges of words) and _items (sorted ids)."""
+    place = docs.columns.index(text_column)
+    docs = out = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # no column can clash
+    kept = docs.columns
     blocks = window_blocks(benchmark, item_column, benchmark_text, width, block_words)
     for k, windows in enumerate(blocks):
         shared = docs.sparkSession.sparkContext.broadcast(windows)
@@ -242,7 +241,7 @@ def report(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **o
     text = options.get("text_column", "text")
     found = scan(docs.select(F.col(id_column), F.col(text)), benchmark, **options)
     return found.select(
-        id_column, F.col("_n_words").alias("n_words"), hit_words().alias("n_hit"),
+        F.col("c0").alias(id_column), F.col("_n_words").alias("n_words"), hit_words().alias("n_hit"),
         F.size("_items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
         is_contaminated().alias("contaminated"))
@@ -251,7 +250,7 @@ def report(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **o
 def remove_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The documents that are not contaminated, columns as they were."""
     found = scan(docs, benchmark, **options)
-    return found.where(~is_contaminated()).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return found.where(~is_contaminated()).drop("_n_words", "_spans", "_items").toDF(*docs.columns)
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text_column: str = "text", **options) -> DataFrame:

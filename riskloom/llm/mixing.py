@@ -90,8 +90,12 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, budget:
 
 def plan(docs: DataFrame, labels: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text",
          source_column: str = "source", weights: Sequence[float] = WEIGHTS, budget: float = BUDGET,
-         max_epochs: int = MAX_EPOCHS, seed: int = SEED, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """One row per document: _id, _print, _source, size, source_size, target, epochs, chosen, taken."""
+         max_epochs: int = MAX_EPOCHS, seed: int = SEED, slice_rows: int = SLICE_ROWS,
+         label_id: str | None = None) -> DataFrame:
+    """One row per document: _id, _print, _source, size, source_size, target, epochs, chosen, taken.
+
+    ``label_id`` names the id column of ``labels`` where it differs from ``id_column``.
+    """
     spark = docs.sparkSession
     text = F.col(text_column)
     rows = docs.select(F.col(id_column).alias("_id"), F.col(source_column).cast("string").alias("_source"),
@@ -99,7 +103,7 @@ def plan(docs: DataFrame, labels: DataFrame | None = None, id_column: str = "doc
     if labels is None:
         weighted = rows.withColumn("_weight", F.lit(1.0))
     else:
-        by_id = label_weights(labels, id_column)
+        by_id = label_weights(labels, label_id or id_column)
         weighted = (rows.join(by_id, rows["_id"] == by_id["_weight_id"], "left")
                     .select(*rows.columns, F.coalesce("_weight", F.lit(UNLABELLED)).alias("_weight")))
     # The upper 53 bits of the hash, never 0 or 1.
@@ -161,13 +165,14 @@ def mix_report(docs: DataFrame, labels: DataFrame | None = None, id_column: str
 
 
 def mixed(docs: DataFrame, labels: DataFrame | None = None, id_column: str = "doc_id", text_column: str = "text",
-          seed: int = SEED, **options) -> DataFrame:
+          source_column: str = "source", seed: int = SEED, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, columns as they were."""
-    planned = plan(docs, labels, id_column, text_column, seed=seed, **options)
+    names = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # no column of the documents can clash
+    rows, key, text = docs.toDF(*names.values()), names[id_column], names[text_column]
+    planned = plan(rows, labels, key, text, names[source_column], seed=seed, label_id=id_column, **options)
     times = (planned.select("_id", "_print", (F.col("epochs") + F.col("chosen").cast("int")).cast("int").alias("_times"))
              .groupBy("_id", "_print").agg(F.max("_times").alias("_times")).where("_times > 0"))
-    printed = docs.withColumn("__print", F.xxhash64(F.col(id_column), F.col(text_column), F.lit(seed)))
-    joined = printed.join(times, printed["__print"].eqNullSafe(times["_print"])
-                          & printed[id_column].eqNullSafe(times["_id"]))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("_times")))).select(
-        *[docs[c] for c in docs.columns])
+    printed = rows.withColumn("_own", F.xxhash64(F.col(key), F.col(text), F.lit(seed)))
+    joined = printed.join(times, (printed["_own"] == times["_print"]) & printed[key].eqNullSafe(times["_id"]))
+    copies = joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return copies.select(*names.values()).toDF(*docs.columns)

@@ -233,6 +233,6 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     cut = (found.where(F.col("removed") & F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("_cut_id"))
            .agg(F.collect_set("paragraph").alias("_cut")))
     joined = docs.join(cut, docs[id_column] == cut["_cut_id"], "left")
-    left = F.filter(F.split(F.col(text_column), "\n", -1), lambda line, i: ~F.array_contains(F.col("_cut"), i.cast("bigint")))
-    text = F.when(F.col("_cut").isNull(), F.col(text_column)).otherwise(F.array_join(left, "\n"))
+    left = F.filter(F.split(docs[text_column], "\n", -1), lambda line, i: ~F.array_contains(cut["_cut"], i.cast("bigint")))
+    text = F.when(cut["_cut"].isNull(), docs[text_column]).otherwise(F.array_join(left, "\n"))
     return joined.select(*[text.alias(c) if c == text_column else docs[c] for c in docs.columns])
