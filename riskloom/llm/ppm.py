@@ -316,7 +316,10 @@ def _score_chunk(tokens: int, types: int):
                 [piece.column("id"), piece.column("held_out"), pa.array(words.counts().astype(np.int64) + 1), pa.array(known),
                  pa.array(np.full(n, tokens, np.int64)), pa.array(base), pa.array(score)], schema=None,
                 names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
-        return pa.concat_tables(out)
+        # A chunk may have got no document.
+        return pa.concat_tables(out) if out else pa.schema([
+            ("id", docs.schema.field("id").type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+            ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]).empty_table()
 
     return run
 
