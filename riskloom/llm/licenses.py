@@ -1,8 +1,8 @@
 """License scans by canonical digests, with DataFrame functions only.
 
-A text is brought to a canonical form: lower case, one spelling of equivalent
-words, lines of copyright notices gone, every run of other characters than
-letters and digits one space. Its SHA-256 is looked up in a table of digests of
+A text is brought to a canonical form: lower case, lines of copyright notices
+gone, every run of other characters than letters and digits one space, one
+spelling of equivalent words. Its SHA-256 is looked up in a table of digests of
 known license texts in the same form; a hit is the whole text, never a part of
 one. Units are the whole text of a document and each of its lines, so a license
 line in a document is found as well as a document that is a license.
@@ -52,38 +52,47 @@ SPELLINGS = (
     ("organisation", "organization"), ("favour", "favor"), ("merchantibility", "merchantability"),
     ("acknowledgement", "acknowledgment"), ("whilst", "while"), ("non commercial", "noncommercial"),
 )
-# Typographic marks that count as punctuation.
-MARKS = "\u00a0\u00ab\u00bb\u2010\u2011\u2012\u2013\u2014\u2018\u2019\u201c\u201d\u2022\u2026"
 # A line that is a notice of copyright, whoever holds it, after lower-casing.
 COPYRIGHT = r"(^|\n)[^a-z0-9\n]*(copyright|\(c\)|©)[^\n]*"
-OTHER = r"[^a-z0-9\x{80}-\x{10FFFF}]+"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+COPYRIGHT_SIGNS = ("copyright", "(c)", "©")
+# What is neither a letter, a digit nor a line break; Latin-1 signs and general punctuation are not letters.
+OTHER = r"[^a-z0-9\n\x{C0}-\x{1FFF}\x{2070}-\x{10FFFF}]+"
 
 
-def canonical(text: Column) -> Column:
-    out = F.translate(text, UPPER + MARKS, LOWER + " " * len(MARKS))
-    out = F.regexp_replace(out, COPYRIGHT, "$1")
+def _marked(text: Column) -> Column:
+    """Lower case, without copyright lines, two spaces for every run of other characters, line breaks kept."""
+    low = F.lower(text)
+    signs = F.contains(low, F.lit(COPYRIGHT_SIGNS[0]))
+    for sign in COPYRIGHT_SIGNS[1:]:
+        signs = signs | F.contains(low, F.lit(sign))
+    # The pattern runs only where one of its signs occurs.
+    return F.regexp_replace(F.when(signs, F.regexp_replace(low, COPYRIGHT, "$1")).otherwise(low), OTHER, "  ")
+
+
+def _form(marked: Column) -> Column:
+    """The canonical form of one marked text; its line breaks are spaces."""
     # Two spaces between words, so that neighbours are replaced apart.
-    out = F.concat(F.lit(" "), F.regexp_replace(out, OTHER, "  "), F.lit(" "))
+    out = F.concat(F.lit(" "), F.replace(marked, F.lit("\n"), F.lit("  ")), F.lit(" "))
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(f" {one.replace(' ', '  ')} "), F.lit(f" {other} "))
-    return F.trim(F.regexp_replace(out, " +", " "))
+    return F.trim(F.regexp_replace(out, " {2,}", " "))
+
+
+def canonical(text: Column) -> Column:
+    return _form(_marked(text))
 
 
 def canonical_sql(text: str) -> str:
     """``canonical`` for the check engine."""
-    out = f"translate({text}, '{UPPER + MARKS}', '{LOWER + ' ' * len(MARKS)}')"
-    out = f"regexp_replace({out}, '{COPYRIGHT}', '\\1', 'g')"
-    out = f"' ' || regexp_replace({out}, '{OTHER}', '  ', 'g') || ' '"
+    out = f"regexp_replace(lower({text}), '{COPYRIGHT}', '\\1', 'g')"
+    out = f"' ' || replace(regexp_replace({out}, '{OTHER}', '  ', 'g'), chr(10), '  ') || ' '"
     for one, other in SPELLINGS:
         out = f"replace({out}, ' {one.replace(' ', '  ')} ', ' {other} ')"
     return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; NULL if nothing is left of the text."""
-    form = canonical(text)
-    return F.when(form != "", F.sha2(form.cast("binary"), 256))
+def digest(form: Column) -> Column:
+    return F.sha2(form.cast("binary"), 256)
 
 
 def notices(spark: SparkSession, texts: Sequence[tuple[str, str]] = NOTICES) -> DataFrame:
@@ -92,14 +101,15 @@ def notices(spark: SparkSession, texts: Sequence[tuple[str, str]] = NOTICES) ->
 
 def scan(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, license, whole_text, n_lines) of every document and license found in it."""
-    text = F.col(text_column).cast("string")
-    lines = F.split(text, "\n", -1)
-    # A whole text of one line is one unit of both kinds.
-    units = docs.select(F.col(id_column).alias("_id"), F.explode(F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), text.alias("unit"))),
-        F.transform(lines, lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))))).alias("_u"))
-    hashed = units.select("_id", F.col("_u.whole").alias("whole"), digest(F.col("_u.unit")).alias("digest"))
-    table = (known.select("license", digest(F.col("text")).alias("_digest")).where("_digest IS NOT NULL").distinct())
+    # The marked text is made once for all units; a whole text of one line is one unit of both kinds.
+    marked = F.array(_marked(F.col(text_column).cast("string")))
+    units = F.flatten(F.transform(marked, lambda m: F.concat(
+        F.array(F.struct(F.lit(True).alias("whole"), m.alias("unit"))),
+        F.transform(F.split(m, "\n", -1), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))))))
+    single = docs.select(F.col(id_column).alias("_id"), F.explode(units).alias("_u"))
+    hashed = single.select("_id", F.col("_u.whole").alias("whole"), digest(_form(F.col("_u.unit"))).alias("digest"))
+    form = canonical(F.col("text"))
+    table = known.select("license", form.alias("_form")).where("_form <> ''").select("license", digest(F.col("_form")).alias("_digest")).distinct()
     found = hashed.join(table, hashed["digest"] == table["_digest"])
     return (found.groupBy("_id", "license").agg(
         F.max("whole").alias("whole_text"), F.sum(F.when(F.col("whole"), 0).otherwise(1)).alias("n_lines"))
