@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 
 def fixed_point(amount: Column, scale: int) -> Column:
-    """Amount as a whole number of 10**-scale units."""
-    return F.round(amount * float(10 ** scale)).cast("bigint")
+    """Amount as a whole number of 10**-scale units; NaN counts as missing."""
+    value = amount.cast("double")
+    return F.when(~F.isnan(value), F.round(value * float(10 ** scale)).cast("bigint"))
 
 
 def square(units: Column) -> Column:

@@ -40,7 +40,8 @@ def curve_points(df: DataFrame, score: str = "prob", label: str = "isFraud", by:
     global order never meets in one task.
     """
     scored = df.select(*by, F.col(score).cast("double").alias("threshold"), F.col(label).cast("bigint").alias("_y"))
-    scored = value_slices(scored.where(F.col("threshold").isNotNull()), "threshold", "_cut", slices)
+    # Rows without a label take no part, whatever their score.
+    scored = value_slices(scored.where(F.col("threshold").isNotNull() & F.col("_y").isNotNull()), "threshold", "_cut", slices)
     counts = scored.groupBy(*by, "_cut", "threshold").agg(
         F.sum("_y").alias("d_tp"), (F.count(F.lit(1)) - F.sum("_y")).alias("d_fp"))
     points = sliced_running(counts.withColumn("_cut", -F.col("_cut")), by, "_cut", [F.desc("threshold")], [

@@ -7,10 +7,12 @@ import random
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -72,7 +74,8 @@ def fit_trees(train: DataFrame, inputs: TreeInputs, params: TreeParams = TreePar
         featuresCol="features", labelCol="_label", weightCol="_weight", maxIter=params.rounds,
         maxDepth=params.max_depth, stepSize=params.learning_rate, subsamplingRate=params.bagging_fraction,
         featureSubsetStrategy=str(params.feature_fraction), minInstancesPerNode=params.min_data_in_leaf,
-        minInfoGain=params.min_gain_to_split * params.gain_scale, maxBins=HIGH_CARDINALITY + 28, seed=params.seed)
+        minInfoGain=params.min_gain_to_split * params.gain_scale, maxBins=HIGH_CARDINALITY + 28, seed=params.seed,
+        cacheNodeIds=True, checkpointInterval=10)
     if validation:
         trees = trees.setParams(validationIndicatorCol=validation, validationTol=tolerance)
     assembler = VectorAssembler(inputCols=inputs.names, outputCol="features")
@@ -130,29 +133,35 @@ def permutation_importance(model: PipelineModel, inputs: TreeInputs, df: DataFra
 
 @dataclass(frozen=True)
 class ReconstructionModel:
-    """Linear autoencoder: the principal components of the legit rows."""
+    """Linear autoencoder: the mean and the principal components of the legit rows."""
 
     pca: Transformer
     width: int
+    center: tuple[float, ...]
 
     def score(self, df: DataFrame, features: str = "features", name: str = "anomaly_score") -> DataFrame:
         """Mean squared reconstruction error per row.
 
         The components are orthonormal, so the squared error is the squared
-        length of the row minus that of its projection.
+        distance of the row from the mean minus that of its projection.
         """
-        def length(vector: str) -> Column:
-            return F.aggregate(vector_to_array(vector), F.lit(0.0), lambda acc, v: acc + v * v)
+        def distance(vector: str, center: Sequence[float]) -> Column:
+            squares = F.zip_with(vector_to_array(vector), F.array(*[F.lit(float(m)) for m in center]),
+                                 lambda v, m: (v - m) * (v - m))
+            return F.aggregate(squares, F.lit(0.0), lambda acc, v: acc + v)
 
         projected = self.pca.copy({self.pca.inputCol: features}).transform(df)
-        error = F.greatest(F.lit(0.0), length(features) - length("_projected")) / F.lit(float(self.width))
+        middle = self.pca.pc.toArray().T @ np.array(self.center)
+        error = F.greatest(F.lit(0.0), distance(features, self.center) - distance("_projected", middle)) / F.lit(float(self.width))
         return projected.withColumn(name, error).drop("_projected")
 
 
 def fit_reconstruction(legit: DataFrame, width: int, latent_dim: int = 61, features: str = "features") -> ReconstructionModel:
     """Fit on z-scored legit rows; the covariance has width x width entries, whatever the number of rows."""
     k = min(latent_dim, width)
-    return ReconstructionModel(PCA(k=k, inputCol=features, outputCol="_projected").fit(legit), width)
+    center = legit.agg(Summarizer.mean(F.col(features))).first()[0]
+    pca = PCA(k=k, inputCol=features, outputCol="_projected").fit(legit)
+    return ReconstructionModel(pca, width, tuple(center.toArray().tolist()))
 
 
 @dataclass(frozen=True)

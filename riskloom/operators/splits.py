@@ -36,14 +36,16 @@ class TimeCuts:
 
     def _before(self, key: tuple[int, int] | None) -> Column:
         if key is None:
-            return F.lit(True)
+            return F.col(self.time).isNotNull()
         at_time, at_id = key
         return (F.col(self.time) < at_time) | ((F.col(self.time) == at_time) & (F.col(self.row_id) < at_id))
 
     def predicate(self, split: str) -> Column:
         """Rows of one split, as comparisons with literals: the filter reaches the scan."""
         in_train, before_test = self._before(self.val_from), self._before(self.test_from)
-        return {"train": in_train, "val": ~in_train & before_test, "test": ~before_test}[split]
+        # Rows without a time come last.
+        after = F.col(self.time).isNull() | ~before_test
+        return {"train": in_train, "val": ~in_train & before_test, "test": after}[split]
 
     def label(self) -> Column:
         return F.when(self.predicate("train"), "train").when(self._before(self.test_from), "val").otherwise("test")
@@ -51,8 +53,8 @@ class TimeCuts:
 
 def time_cuts(df: DataFrame, train_size: float = TRAIN_SIZE, test_size: float = TEST_SIZE,
               time: str = "TransactionDT", row_id: str = "TransactionID") -> TimeCuts:
-    """Cut keys in (time, id) order, exact to the row, found by counting."""
-    keys = df.select(time, row_id)
+    """Cut keys in (time, id) order, exact to the row, found by counting; rows without a time are extra test rows."""
+    keys = df.select(time, row_id).where(F.col(time).isNotNull())
     n, low, high = keys.agg(F.count(F.lit(1)), F.min(time), F.max(time)).first()
     positions = split_sizes(n, train_size, test_size)
     inner = sorted({p for p in positions if p < n})

@@ -18,6 +18,7 @@ from riskloom.operators.prep import LevelEncoding, NumericScaling, fit_levels
 from riskloom.operators.splits import stratified_folds, time_cuts
 from riskloom.operators.thresholds import BUSINESS_FP_TARGET, choose_threshold
 from riskloom.sources.metadata import add_meta, read_meta
+from riskloom.session import shared_dir
 from riskloom.sources.sinks import save_as, write_splits
 
 
@@ -38,6 +39,7 @@ def train(features: DataFrame, out: str, params: TreeParams = TreeParams(), stra
     cross validation over train and val.
     """
     spark = features.sparkSession
+    shared_dir(spark)  # boosting cuts its lineage there
     # The splits are read many times from here on, so the features are computed and written once.
     rows = save_as(features, f"{out}/features")
     cuts = time_cuts(rows, time=time, row_id=row_id)
@@ -69,7 +71,8 @@ def train(features: DataFrame, out: str, params: TreeParams = TreeParams(), stra
     if anomaly:
         anomaly.reconstruction.pca.write().overwrite().save(f"{out}/reconstruction")
         entries["anomaly"] = {"levels": {c: list(v) for c, v in anomaly.levels.levels.items()}, "means": dict(anomaly.scaling.means),
-                              "deviations": dict(anomaly.scaling.deviations), "width": anomaly.reconstruction.width}
+                              "deviations": dict(anomaly.scaling.deviations), "width": anomaly.reconstruction.width,
+                              "center": list(anomaly.reconstruction.center)}
     if folds:
         folded = save_as(stratified_folds(fitting, folds, label=label, row_id=row_id), f"{out}/folds")
         quality = cross_validate(folded, inputs, params, folds, label, row_id=row_id)
@@ -86,6 +89,6 @@ def load_trained(spark: SparkSession, out: str) -> TrainedModel:
         anomaly = AnomalyModel(
             LevelEncoding({c: tuple(v) for c, v in stored["levels"].items()}, ()),
             NumericScaling(stored["means"], stored["deviations"], ()),
-            ReconstructionModel(PCAModel.load(f"{out}/reconstruction"), stored["width"]))
+            ReconstructionModel(PCAModel.load(f"{out}/reconstruction"), stored["width"], tuple(stored["center"])))
     return TrainedModel(PipelineModel.load(f"{out}/model"), TreeInputs(scaling, tuple(meta["text_columns"])),
                         meta["best_threshold"], anomaly)

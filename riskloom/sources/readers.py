@@ -9,8 +9,21 @@ from pyspark.sql import types as T
 from riskloom.functions import whole_number
 
 # SQL type per inferred type; anything else is TEXT.
-SQL_TYPES = {"int": "BIGINT", "bigint": "BIGINT", "double": "DOUBLE PRECISION", "boolean": "BOOLEAN",
-             "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+SQL_TYPES = {"tinyint": "SMALLINT", "smallint": "SMALLINT", "int": "BIGINT", "bigint": "BIGINT", "float": "REAL",
+             "double": "DOUBLE PRECISION", "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP",
+             "timestamp_ntz": "TIMESTAMP", "binary": "BYTEA", "variant": "JSONB"}
+
+
+def sql_type(kind: T.DataType) -> str:
+    """Column type of a database for a Spark type: arrays of simple types as such, other nested types as JSON."""
+    if isinstance(kind, T.DecimalType):
+        return f"NUMERIC({kind.precision},{kind.scale})"
+    if isinstance(kind, T.ArrayType) and not isinstance(kind.elementType, (T.ArrayType, T.MapType, T.StructType)):
+        return f"{sql_type(kind.elementType)}[]"
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        return "JSONB"
+    return SQL_TYPES.get(kind.simpleString(), "TEXT")
+
 
 # Stands for a quoted empty field while reading; Spark would merge it with NULL.
 QUOTED_EMPTY = "\u0000"
@@ -76,7 +89,7 @@ def column_list(df: DataFrame) -> DataFrame:
     """(position, column_name, sql_type, n_values): the columns in order with their non-null counts."""
     counts = df.agg(*[F.count(F.col(f"`{f.name}`")).alias(f.name) for f in df.schema])
     described = [F.struct(F.lit(i + 1).alias("position"), F.lit(f.name).alias("column_name"),
-                          F.lit(SQL_TYPES.get(f.dataType.simpleString(), "TEXT")).alias("sql_type"),
+                          F.lit(sql_type(f.dataType)).alias("sql_type"),
                           F.col(f"`{f.name}`").alias("n_values")) for i, f in enumerate(df.schema)]
     return counts.select(F.inline(F.array(*described)))
 

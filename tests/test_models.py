@@ -92,6 +92,17 @@ def test_reconstruction_error(spark):
     assert losses[2] < 1e-9 < losses[1]
 
 
+def test_a_rare_level_scores_higher(spark):
+    """Columns that are not centred: almost every row has the level, the few without it are the odd ones."""
+    draw = np.random.default_rng(1)
+    rows = [(i, Vectors.dense([*draw.normal(size=2), 0.0 if i < 10 else 1.0])) for i in range(500)]
+    df = spark.createDataFrame(rows, ["id", "features"])
+    scores = {r["id"]: r["anomaly_score"] for r in models.fit_reconstruction(df, 3, 2).score(df).collect()}
+    assert min(scores[i] for i in range(10)) > max(scores[i] for i in range(10, 500))
+    whole = models.fit_reconstruction(df, 3, 3).score(df).collect()
+    assert max(r["anomaly_score"] for r in whole) < 1e-9
+
+
 def test_trials_respect_ranges():
     trials = models.sample_trials(200)
     assert trials == models.sample_trials(200) != models.sample_trials(200, seed=1)
