@@ -51,6 +51,8 @@ CHUNK_BYTES = 32 << 20
 # Small corpora still make some chunks, of this size at least.
 LEAST_CHUNKS, LEAST_CHUNK_BYTES = 8, 1 << 20
 BLOCK = 1 << 20
+# Bytes of text that a task turns into strings at a time; each takes about 100 bytes of arrays.
+PIECE_BYTES = 1 << 20
 LN10 = float(np.log(10.0))
 # Marks the end token among the word hashes of a chunk.
 END_HASH = np.uint64(0)
@@ -133,7 +135,7 @@ def _word_counts(piece: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch | None]]:
     """Pieces of each chunk of a partition sorted by chunk; (chunk, None) ends a chunk."""
     current = None
-    for piece in pieces(batches, "text"):
+    for piece in pieces(batches, "text", PIECE_BYTES):
         chunk = piece.column("chunk").to_numpy()
         edges = np.concatenate([[0], np.flatnonzero(chunk[1:] != chunk[:-1]) + 1, [len(chunk)]])
         for a, b in zip(edges.tolist(), edges[1:].tolist()):
@@ -304,7 +306,7 @@ def _score_chunk(tokens: int, types: int):
         word, count = _sorted(key[~is_gram], value[~is_gram])
         ends = float(count[0]) if len(word) and word[0] == END_HASH else 0.0
         out = []
-        for piece in pieces(iter(docs.to_batches()), "text"):
+        for piece in pieces(iter(docs.to_batches()), "text", PIECE_BYTES):
             words = split(piece.column("text"), NOT_WHITE, lower=True)
             n, of = len(piece), words.text_of()
             c = _value(word, count, hashes(words.data, words.starts, words.ends))

@@ -34,13 +34,13 @@ def utf8(column: Column) -> Column:
     return F.coalesce(column.cast("binary"), F.lit(b""))
 
 
-def pieces(batches: Iterator[pa.RecordBatch], column: int | str) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], column: int | str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded rows and, but for single long texts, bounded bytes of ``column``."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
-            if i > start and (i - start >= PIECE_ROWS or held + n > PIECE_BYTES):
+            if i > start and (i - start >= PIECE_ROWS or held + n > limit):
                 yield batch.slice(start, i - start)
                 start, held = i, 0
             held += n
