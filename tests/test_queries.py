@@ -3,9 +3,9 @@
 import pytest
 
 import __spark_entry__ as entry
+from riskloom.catalog import ORACLES, QUERIES
 from tools.check import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 # Training queries without SQL are covered, smaller, in test_models.
 UNCHECKED = sorted(set(QUERIES) - set(ORACLES))
 
@@ -21,7 +21,8 @@ def test_matches_sql(spark, sf_dir, con, name):
 
 
 def test_names():
-    assert set(ORACLES) <= set(QUERIES)
+    assert set(ORACLES) <= set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
     assert UNCHECKED == ["anomaly_embeddings", "anomaly_score", "attribution", "batch_score", "cross_val", "gbt_predict",
                          "gbt_train", "hpo_search", "latent_search", "stream_model_score"]
 
