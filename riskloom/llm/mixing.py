@@ -116,7 +116,7 @@ def plan(docs: DataFrame, labels: DataFrame | None = None, id_column: str = "doc
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = written(targets.select(
         F.col("_source").alias("_name"), "source_size", "target", epochs.cast("bigint").alias("epochs"),
-        F.round(F.col("target") - epochs * F.col("source_size")).cast("bigint").alias("_rest")), "targets")
+        F.round(F.col("target") - epochs * F.col("source_size")).cast("bigint").alias("_rest")).coalesce(1), "targets")
 
     order = [F.asc_nulls_last("_source"), F.asc("_key"), F.asc("_print"), F.asc_nulls_last("_id")]
     rows_in_all = sized.count()
@@ -133,7 +133,7 @@ def plan(docs: DataFrame, labels: DataFrame | None = None, id_column: str = "doc
     ends = (drawn.groupBy(F.col("_source").alias("_name"))
             .agg((F.first("_rest") - F.coalesce(F.sum(F.when(F.col("_drawn"), F.col("size"))), F.lit(0))).alias("_gap"),
                  edge.alias("_edge")).where("_gap > 0").withColumn("_over", F.col("_edge.size") - F.col("_gap")))
-    ends = written(ends, "ends")
+    ends = written(ends.coalesce(1), "ends")
     # One exchange at most: a document outside that fits the gap, or the edge for a drawn one that fits the overrun.
     off = F.when(F.col("_drawn"), F.abs(F.col("_over") - F.col("size"))).otherwise(F.abs(F.col("_gap") - F.col("size")))
     swaps = (drawn.where("size > 0").join(ends, drawn["_source"].eqNullSafe(ends["_name"]))
