@@ -91,6 +91,20 @@ def canonical_sql(text: str) -> str:
     return f"trim(regexp_replace({out}, ' +', ' ', 'g'))"
 
 
+# A replaced word keeps at least this share of its length.
+SHRINK = min(len(other) / len(one) for one, other in SPELLINGS)
+
+
+def least_form(marked: Column, breaks: Column) -> Column:
+    """No form of a marked text with so many line breaks is shorter.
+
+    A text of w words has at most w + 1 + breaks runs of two spaces, and no more
+    words than letters, so at least a third of what is left without the breaks
+    are letters; replaced words keep SHRINK of theirs.
+    """
+    return (F.length(marked) - 2 - 3 * breaks) * (SHRINK / 3)
+
+
 def digest(form: Column) -> Column:
     return F.sha2(form.cast("binary"), 256)
 
@@ -101,15 +115,25 @@ def notices(spark: SparkSession, texts: Sequence[tuple[str, str]] = NOTICES) ->
 
 def scan(docs: DataFrame, known: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, license, whole_text, n_lines) of every document and license found in it."""
+    form = canonical(F.col("text"))
+    table = known.select("license", form.alias("_form")).where("_form <> ''").select("license", "_form").distinct()
+    longest = table.agg(F.max(F.length("_form"))).first()[0] or 0
+    table = table.select("license", digest(F.col("_form")).alias("_digest"))
+
+    def matches(unit: Column, breaks: Column) -> Column:
+        return least_form(unit, breaks) <= longest
+
     # The marked text is made once for all units; a whole text of one line is one unit of both kinds.
+    # Units whose form must be longer than any known one are left out before it is made.
     marked = F.array(_marked(F.col(text_column).cast("string")))
+    none = F.lit(0)
     units = F.flatten(F.transform(marked, lambda m: F.concat(
-        F.array(F.struct(F.lit(True).alias("whole"), m.alias("unit"))),
-        F.transform(F.split(m, "\n", -1), lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))))))
+        F.transform(F.filter(F.array(m), lambda x: matches(x, F.length(x) - F.length(F.replace(x, F.lit("\n"), F.lit(""))))),
+                    lambda x: F.struct(F.lit(True).alias("whole"), x.alias("unit"))),
+        F.transform(F.filter(F.split(m, "\n", -1), lambda x: matches(x, none)),
+                    lambda x: F.struct(F.lit(False).alias("whole"), x.alias("unit"))))))
     single = docs.select(F.col(id_column).alias("_id"), F.explode(units).alias("_u"))
     hashed = single.select("_id", F.col("_u.whole").alias("whole"), digest(_form(F.col("_u.unit"))).alias("digest"))
-    form = canonical(F.col("text"))
-    table = known.select("license", form.alias("_form")).where("_form <> ''").select("license", digest(F.col("_form")).alias("_digest")).distinct()
     found = hashed.join(table, hashed["digest"] == table["_digest"])
     return (found.groupBy("_id", "license").agg(
         F.max("whole").alias("whole_text"), F.sum(F.when(F.col("whole"), 0).otherwise(1)).alias("n_lines"))
