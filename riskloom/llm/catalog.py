@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, licenses, mixing, paragraphs, ppm, quality, rollups, simhash, token_files, urls
+from riskloom.llm import decontam, licenses, mixing, passages, ppm, quality, rollups, simhash, token_files, urls
 from riskloom.llm.text import table
 from riskloom.session import scratch_path, written
 
@@ -72,8 +72,8 @@ def ppm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_paragraphs")
 def repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph that repeats another, with its class."""
-    return paragraphs.repeats(table(spark, sf_dir, "documents"))
+    """Every passage and every line that repeats another, with where it stands first."""
+    return passages.repeats(table(spark, sf_dir, "documents"))
 
 
 @query("op7_licenses", licenses.scan_sql())
