@@ -61,7 +61,7 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_url_filter")
 def url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
-    return urls.judge(table(spark, sf_dir, "pages"))
+    return urls.judge(table(spark, sf_dir, "pages"), names_are_words=False)
 
 
 @query("op1_ppm_score")

@@ -2,8 +2,9 @@
 
 Hosts run words together. Each name (what stands between dots, hyphens and
 other marks) is split by the most probable sequence of dictionary words. The
-dictionary counts the words of the pages' own texts, of the names themselves
-and of ``BLOCK_TERMS``. It is never broadcast: the substrings of the distinct
+dictionary counts the words of the pages' own texts and of ``BLOCK_TERMS``, and by
+default each name once, which keeps most names whole; without
+``names_are_words`` a name is a word only if the texts have it. It is never broadcast: the substrings of the distinct
 names are joined to it, so a name meets only words that occur in it.
 
 The classifier learns from the urls: those whose host has a word of
@@ -142,7 +143,8 @@ def _bag(distinct: DataFrame, column: str, splits: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
-          rules: Sequence[tuple[str, str]] = RULES, terms: Sequence[str] = BLOCK_TERMS) -> DataFrame:
+          rules: Sequence[tuple[str, str]] = RULES, terms: Sequence[str] = BLOCK_TERMS,
+          names_are_words: bool = True) -> DataFrame:
     """(id, host, path, rule, verdict, score) of every page; score is the log odds of blocking by the method."""
     url = F.col(url_column).cast("string")
     urls = pages.select(F.col(id_column).alias("_id"), host(url).alias("host"), path(url).alias("path"))
@@ -155,8 +157,11 @@ def judge(pages: DataFrame, id_column: str = "page_id", url_column: str = "url",
                     .groupBy("name").agg(F.sum("urls").alias("n")), "names")
     spark = pages.sparkSession
     seeds = spark.createDataFrame([(t, TERM_COUNT) for t in terms], "word string, n bigint")
-    own = names.where(F.length("name") <= MAX_WORD).select(F.col("name").alias("word"), F.lit(1).cast("bigint").alias("n"))
-    dictionary = written(_page_words(pages, html_column).unionByName(own).unionByName(seeds)
+    words = _page_words(pages, html_column).unionByName(seeds)
+    if names_are_words:
+        words = words.unionByName(names.where(F.length("name") <= MAX_WORD).select(
+            F.col("name").alias("word"), F.lit(1).cast("bigint").alias("n")))
+    dictionary = written(words
                          .groupBy("word").agg(F.sum("n").alias("n")), "dictionary")
     splits = written(split_names(names.select("name"), dictionary), "splits")
     host_bag = written(_bag(hosts, "host", splits), "host-words")
