@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import decontam, licenses, mixing, passages, ppm, quality, rollups, simhash, token_files, urls
+from riskloom.llm import conversations, decontam, licenses, mixing, passages, ppm, quality, rollups, simhash, token_files, urls
 from riskloom.llm.text import table
 from riskloom.session import scratch_path, written
 
@@ -126,3 +126,9 @@ def token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
     rollups.commit(store, "0002-revise", revised)
     rollups.commit(store, "0004-insert", changes(alive, "bytes-2", none, F.col("bytes")))
     return rollups.totals(spark, store)
+
+
+@query("op12_conversations")
+def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and digest of every conversation after planted damage."""
+    return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))

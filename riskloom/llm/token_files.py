@@ -248,7 +248,7 @@ class SequenceWriter:
         self.out.close()
 
 
-def _file_system(path: str):
+def file_system(path: str):
     from pyarrow import fs
     if "://" not in path and not path.startswith("file:"):
         path = f"file://{path}"
@@ -280,7 +280,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str | None = None,
         for piece in pieces(batches, "_text"):
             if target is None:
                 path = f"{folder.rstrip('/')}/part-{part:06d}-{uuid.uuid4().hex}.arrow"
-                system, inner = _file_system(path)
+                system, inner = file_system(path)
                 sink = system.open_output_stream(inner)
                 target = SequenceWriter(sink, file_schema(length, words.vocabulary))
             ids, bounds = words.texts(piece.column("_text"))
@@ -300,13 +300,13 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str | None = None,
 
 
 def _make(folder: str) -> None:
-    system, inner = _file_system(folder)
+    system, inner = file_system(folder)
     system.create_dir(inner, recursive=True)
 
 
 def sequences(path: str) -> pa.Table:
     """A file's sequences without copying: buffers point into the mapped file."""
-    system, inner = _file_system(path)
+    system, inner = file_system(path)
     from pyarrow import fs
     if isinstance(system, fs.LocalFileSystem):
         return pa.ipc.open_file(pa.memory_map(inner)).read_all()
@@ -315,7 +315,7 @@ def sequences(path: str) -> pa.Table:
 
 def file_documents(path: str) -> Iterator[tuple[list, list[bytes]]]:
     """Per record batch of a file: (document ids, their token ids as 32-bit bytes) of the documents that end in it."""
-    system, inner = _file_system(path)
+    system, inner = file_system(path)
     with system.open_input_file(inner) as source:
         reader = pa.ipc.open_file(source)
         open_part: list[bytes] = []  # of a document that began in an earlier batch
