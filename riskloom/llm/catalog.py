@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import conversations, decontam, licenses, mixing, passages, ppm, quality, rollups, simhash, token_files, urls
+from riskloom.llm import conversations, decontam, licenses, mixing, passages, ppm, quality, rollups, simhash, token_files, urls, vector_codes
 from riskloom.llm.text import table
 from riskloom.session import scratch_path, written
 
@@ -132,3 +132,9 @@ def token_rollups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and digest of every conversation after planted damage."""
     return conversations.damaged_and_repaired(table(spark, sf_dir, "conversations"))
+
+
+@query("op11_vector_codes", vector_codes.codes_sql())
+def compressed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every sound vector."""
+    return vector_codes.with_label_errors(vector_codes.compress(table(spark, sf_dir, "embeddings")))
