@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.llm import conversations, decontam, licenses, mixing, passages, ppm, quality, rollups, simhash, token_files, urls, vector_codes
+from riskloom.llm import conversations, decontam, html_text, licenses, mixing, passages, ppm, quality, rollups, simhash, token_files, urls, vector_codes
 from riskloom.llm.text import table
 from riskloom.session import scratch_path, written
 
@@ -138,3 +138,9 @@ def repaired_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 def compressed_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code and error of every sound vector."""
     return vector_codes.with_label_errors(vector_codes.compress(table(spark, sf_dir, "embeddings")))
+
+
+@query("op13_html_text", html_text.template_sql())
+def page_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract(table(spark, sf_dir, "pages"))

@@ -13,5 +13,5 @@ def test_matches_sql(spark, sf_dir, name):
 
 
 def test_names():
-    assert [n.split("_")[0] for n in QUERIES] and {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert [n.split("_")[0] for n in QUERIES] and {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
