@@ -27,6 +27,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +45,7 @@ END_ID = 2
 # Sequences per record batch: 256 of 2048 ids are 2.6 MB.
 BATCH_SEQUENCES = 256
 # Distinct words whose ids a worker remembers.
-CACHE_WORDS = 2_000_000
+CACHE_WORDS = 1_000_000
 
 # How the word-level vocabulary splits texts, and marks that are
 # a pre-token of their own after a letter.
@@ -54,6 +55,28 @@ MARK = byte_table(lambda b: b in MARKS)
 LETTER = byte_table(lambda b: b < 0x80 and chr(b).isalpha())
 
 
+@dataclass(frozen=True)
+class Layer:
+    """Words in the order of their keys, each with the place and number of its ids in a pool."""
+
+    keys: np.ndarray
+    checks: np.ndarray
+    begin: np.ndarray
+    length: np.ndarray
+    pool: np.ndarray
+
+    @staticmethod
+    def empty() -> Layer:
+        return Layer(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, "<u4"))
+
+    def merged(self, other: Layer) -> Layer:
+        keys = np.concatenate([self.keys, other.keys])
+        order = np.argsort(keys, kind="stable")
+        return Layer(keys[order], np.concatenate([self.checks, other.checks])[order],
+                     np.concatenate([self.begin, other.begin + len(self.pool)])[order],
+                     np.concatenate([self.length, other.length]).astype(np.int32)[order], np.concatenate([self.pool, other.pool]))
+
+
 class WordCache:
     """Token ids of texts, each distinct word encoded once per worker.
 
@@ -75,9 +98,11 @@ class WordCache:
         self._forget()
 
     def _forget(self) -> None:
-        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.begin, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.pool = np.zeros(0, "<u4")
+        # Learned words lie in sorted layers, the latest one small, so that a new word does not copy all others.
+        self.layers = [Layer.empty(), Layer.empty()]
+
+    def _count(self) -> int:
+        return sum(len(layer.keys) for layer in self.layers)
 
     def texts(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, place where each text's ids begin and the end) of a binary column."""
@@ -86,7 +111,7 @@ class WordCache:
                 [t.decode() for t in column.to_pylist()], add_special_tokens=False)]
             return np.concatenate([np.zeros(0, "<u4"), *encoded]), np.cumsum([0, *map(len, encoded)])
         words = split(column, NOT_WHITE, lower=False)
-        data, starts, ends, first = self._units(words)
+        data, starts, ends, words_first = self._units(words)
         keys, checks = hashes(data, starts, ends), hashes(data, starts, ends, 1)
         order = np.argsort(keys, kind="stable")
         ranked = keys[order]
@@ -95,20 +120,21 @@ class WordCache:
         group = np.empty(len(keys), np.int64)
         group[order] = np.cumsum(fresh) - 1
         some = order[fresh]  # a place of each distinct unit
-        place = self._find(keys[some], checks[some])
-        missing = np.flatnonzero(place < 0)
+        first, size = self._find(keys[some], checks[some])
+        missing = np.flatnonzero(first < 0)
         if len(missing):
-            if len(self.keys) + len(missing) > self.size:
+            if self._count() + len(missing) > self.size:
                 self._forget()
                 missing = np.arange(len(some))
             at = some[missing]
             self._learn(keys[at], checks[at], [data[a:b].tobytes() for a, b in zip(starts[at], ends[at])])
-            place = self._find(keys[some], checks[some])
-        place = place[group]
-        sizes = self.length[place]
+            first, size = self._find(keys[some], checks[some])
+        sizes = size[group]
         bounds = np.concatenate([[0], np.cumsum(sizes)])
-        source = np.repeat(self.begin[place] - bounds[:-1], sizes) + np.arange(bounds[-1])
-        return self.pool[source], bounds[first]
+        source = np.repeat(first[group] - bounds[:-1], sizes)
+        source += np.arange(bounds[-1])
+        pool = np.concatenate([layer.pool for layer in self.layers]) if len(self.layers[1].pool) else self.layers[0].pool
+        return pool[source], bounds[words_first]
 
     def _units(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Words cut before their closing marks: (bytes, starts, ends, first unit of each text)."""
@@ -135,24 +161,28 @@ class WordCache:
         begin[at[tails] + 1], end[at[tails] + 1] = stem[tails], ends[tails]
         return lowered, begin, end, words.first + shift[words.first]
 
-    def _find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
-        """Number of each known unit, else -1. Keys are unique here: a unit whose key is taken is never kept."""
-        if not len(self.keys):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where((self.keys[at] == keys) & (self.checks[at] == checks), at, -1)
+    def _find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of the first id in all layers' pools, number of ids) of each unit; unknown ones have place -1."""
+        first, size, behind = np.full(len(keys), -1), np.zeros(len(keys), np.int64), 0
+        for layer in self.layers:
+            if len(layer.keys):
+                at = np.minimum(np.searchsorted(layer.keys, keys), len(layer.keys) - 1)
+                known = (layer.keys[at] == keys) & (layer.checks[at] == checks)
+                at = at[known]
+                first[known], size[known] = behind + layer.begin[at], layer.length[at]
+            behind += len(layer.pool)
+        return first, size
 
     def _learn(self, keys: np.ndarray, checks: np.ndarray, words: list[bytes]) -> None:
         ids, bounds = self._encode(words)
-        keys, checks = np.concatenate([self.keys, keys]), np.concatenate([self.checks, checks])
-        begin = np.concatenate([self.begin, len(self.pool) + bounds[:-1]])
-        length = np.concatenate([self.length, np.diff(bounds)])
         order = np.argsort(keys, kind="stable")
-        self.keys, self.checks = keys[order], checks[order]
-        self.begin, self.length = begin[order], length[order]
-        self.pool = np.concatenate([self.pool, ids])
-        if np.any(self.keys[1:] == self.keys[:-1]):
+        new = Layer(keys[order], checks[order], bounds[:-1][order], np.diff(bounds)[order], ids)
+        self.layers[1] = self.layers[1].merged(new)
+        if any(np.isin(keys, layer.keys).any() for layer in self.layers[:1]) or np.any(
+                self.layers[1].keys[1:] == self.layers[1].keys[:-1]):
             raise ValueError("two words share a 64-bit hash; choose other multipliers")
+        if 8 * len(self.layers[1].keys) > len(self.layers[0].keys):
+            self.layers = [self.layers[0].merged(self.layers[1]), Layer.empty()]
 
     def _encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, which share texts and are told apart by the places of their characters."""
