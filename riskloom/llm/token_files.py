@@ -45,7 +45,7 @@ END_ID = 2
 # Sequences per record batch: 256 of 2048 ids are 2.6 MB.
 BATCH_SEQUENCES = 256
 # Distinct words whose ids a worker remembers.
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 2_000_000
 
 # How the word-level vocabulary splits texts, and marks that are
 # a pre-token of their own after a letter.
@@ -69,6 +69,12 @@ class Layer:
     def empty() -> Layer:
         return Layer(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, "<u4"))
 
+    def at(self, keys: np.ndarray) -> np.ndarray:
+        return np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        return self.keys[self.at(keys)] == keys if len(self.keys) else np.zeros(len(keys), bool)
+
     def merged(self, other: Layer) -> Layer:
         keys = np.concatenate([self.keys, other.keys])
         order = np.argsort(keys, kind="stable")
@@ -133,8 +139,14 @@ class WordCache:
         bounds = np.concatenate([[0], np.cumsum(sizes)])
         source = np.repeat(first[group] - bounds[:-1], sizes)
         source += np.arange(bounds[-1])
-        pool = np.concatenate([layer.pool for layer in self.layers]) if len(self.layers[1].pool) else self.layers[0].pool
-        return pool[source], bounds[words_first]
+        old, new = (layer.pool for layer in self.layers)
+        if not len(new):
+            return old[source], bounds[words_first]
+        late = source >= len(old)
+        ids = np.zeros(len(source), "<u4")
+        ids[~late] = old[source[~late]]
+        ids[late] = new[source[late] - len(old)]
+        return ids, bounds[words_first]
 
     def _units(self, words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Words cut before their closing marks: (bytes, starts, ends, first unit of each text)."""
@@ -166,7 +178,7 @@ class WordCache:
         first, size, behind = np.full(len(keys), -1), np.zeros(len(keys), np.int64), 0
         for layer in self.layers:
             if len(layer.keys):
-                at = np.minimum(np.searchsorted(layer.keys, keys), len(layer.keys) - 1)
+                at = layer.at(keys)
                 known = (layer.keys[at] == keys) & (layer.checks[at] == checks)
                 at = at[known]
                 first[known], size[known] = behind + layer.begin[at], layer.length[at]
@@ -178,8 +190,7 @@ class WordCache:
         order = np.argsort(keys, kind="stable")
         new = Layer(keys[order], checks[order], bounds[:-1][order], np.diff(bounds)[order], ids)
         self.layers[1] = self.layers[1].merged(new)
-        if any(np.isin(keys, layer.keys).any() for layer in self.layers[:1]) or np.any(
-                self.layers[1].keys[1:] == self.layers[1].keys[:-1]):
+        if any(layer.has(keys).any() for layer in self.layers[:1]) or np.any(self.layers[1].keys[1:] == self.layers[1].keys[:-1]):
             raise ValueError("two words share a 64-bit hash; choose other multipliers")
         if 8 * len(self.layers[1].keys) > len(self.layers[0].keys):
             self.layers = [self.layers[0].merged(self.layers[1]), Layer.empty()]
