@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from riskloom.catalog.behaviour import COUNTS, AMOUNT, EVENT_DEVICE, GAP, HISTORY, RATIO, SINCE, change, new_device
 from riskloom.catalog.decisions import BLOCK, FALLBACK, THRESHOLD, decision_sql
 from riskloom.catalog.inputs import SCORED, SPEC, TX, table, transactions_from
-from riskloom.catalog.models import SMALL
+from riskloom.catalog.models import PARAMS
 from riskloom.catalog.registry import query
 from riskloom.operators.columns import user_keys
 from riskloom.operators.decisions import decide, fallback_fraud, huge_amount_from_new_device
@@ -44,7 +44,7 @@ def stream_model_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored model applied to the stream."""
     history = transactions_from(table(spark, sf_dir, "events"))
     history = history.drop("DeviceInfo", "P_emaildomain")  # they spell out the label
-    trained = train(history, scratch_path(spark, "model"), SMALL)
+    trained = train(history, scratch_path(spark, "model"), PARAMS)
     tx = transactions_from(event_stream(spark, sf_dir))
     rows = tx.withColumn("is_new_device_uid1", (F.col("DeviceType") == "mobile").cast("bigint"))
     decided = score_and_decide(rows, trained, rules(), ["TransactionID", "TransactionAmt", "is_new_device_uid1"])

@@ -1,4 +1,4 @@
-"""Boosted trees, reconstruction-error scores, cross validation, search, importance."""
+"""Trees over a feature table, reconstruction-error scores, cross validation, search, attribution."""
 
 from __future__ import annotations
 
@@ -8,127 +8,118 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel, Transformer
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.feature import PCA, StringIndexer, VectorAssembler
+from pyspark.ml import Transformer
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.text import MISSING
+from riskloom.operators.boosting import Boosted, Boosting, TreeParams, binned, fit_edges
+from riskloom.operators.codes import UNFITTED, Codes, count_levels, fit_codes, fold_of, no_codes
 from riskloom.operators.columns import legit_rows
 from riskloom.operators.curves import average_precision
 from riskloom.operators.ordering import HOT_ROWS, SLICE_ROWS, Running, running
-from riskloom.operators.prep import HIGH_CARDINALITY, LevelEncoding, NumericScaling, fit_levels, fit_scaling, with_matrix
-
-
-@dataclass(frozen=True)
-class TreeParams:
-    """Boosting parameters; defaults are the tuned ones."""
-
-    # Fixed values.
-    learning_rate: float = 0.04326812777022993
-    max_depth: int = 6
-    feature_fraction: float = 0.7951465798454141
-    bagging_fraction: float = 0.8140068172963008
-    min_gain_to_split: float = 0.7677607867288584
-    min_data_in_leaf: int = 183
-    scale_pos_weight: float = 2.3042399671763754
-    rounds: int = 3000
-    # Ours: Spark's gain is an impurity difference, not a loss difference, so it is scaled.
-    gain_scale: float = 1e-4
-    seed: int = 42
+from riskloom.operators.prep import LevelEncoding, NumericScaling, fit_levels, fit_scaling, with_matrix
 
 
 @dataclass(frozen=True)
 class TreeInputs:
-    """How raw columns become the vector: imputed numbers, missing flags, indexed texts."""
+    """What trees are given: numbers as they are, missing ones included, and rank and label rate of every text column."""
 
-    scaling: NumericScaling
-    texts: tuple[str, ...]
+    numbers: tuple[str, ...]
+    codes: Codes
+
+    @property
+    def texts(self) -> tuple[str, ...]:
+        return self.codes.texts
 
     @property
     def names(self) -> list[str]:
-        numbers = self.scaling.names
-        return [*numbers, *[f"{c}_is_missing" for c in numbers], *[f"{c}_index" for c in self.texts]]
+        return [*self.numbers, *self.codes.names]
 
-    def transform(self, df: DataFrame) -> DataFrame:
-        """Spark trees take no NULL: numbers get the train mean and a flag, texts the level 'missing'."""
-        flagged = df.withColumns({f"{c}_is_missing": F.col(c).isNull().cast("double") for c in self.scaling.names})
-        return self.scaling.impute(flagged).withColumns({c: F.coalesce(F.col(c), F.lit(MISSING)) for c in self.texts})
+    def transform(self, df: DataFrame, fold: Column | None = None) -> DataFrame:
+        """``df`` with the codes. ``fold`` is given for rows the codes were fitted on."""
+        return self.codes.add(df, fold)
 
 
-def fit_tree_inputs(train: DataFrame, numbers: Sequence[str], texts: Sequence[str], label: str = "isFraud") -> TreeInputs:
-    return TreeInputs(fit_scaling(train, numbers, label), tuple(texts))
+def fit_tree_inputs(train: DataFrame, numbers: Sequence[str], texts: Sequence[str], label: str = "isFraud",
+                    row_id: str = "TransactionID", path: str | None = None) -> TreeInputs:
+    """Code tables of all ``texts``, fitted on ``train`` fold by fold and written to ``path``."""
+    if not texts:
+        return TreeInputs(tuple(numbers), no_codes(train.sparkSession))
+    counts = count_levels(train, texts, label, fold_of(row_id))
+    return TreeInputs(tuple(numbers), fit_codes(counts, texts, path=path))
 
 
-def fit_trees(train: DataFrame, inputs: TreeInputs, params: TreeParams = TreeParams(), label: str = "isFraud",
-              validation: str | None = None, tolerance: float = 1e-4) -> PipelineModel:
-    """Index texts, assemble, boost. ``validation`` marks the rows that stop boosting early."""
-    weight = F.when(F.col(label) == 1, params.scale_pos_weight).otherwise(1.0)
-    prepared = inputs.transform(train).withColumn("_weight", weight).withColumn("_label", F.col(label).cast("double"))
-    indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep",
-                              stringOrderType="frequencyDesc") for c in inputs.texts]
-    trees = GBTClassifier(
-        featuresCol="features", labelCol="_label", weightCol="_weight", maxIter=params.rounds,
-        maxDepth=params.max_depth, stepSize=params.learning_rate, subsamplingRate=params.bagging_fraction,
-        featureSubsetStrategy=str(params.feature_fraction), minInstancesPerNode=params.min_data_in_leaf,
-        minInfoGain=params.min_gain_to_split * params.gain_scale, maxBins=HIGH_CARDINALITY + 28, seed=params.seed,
-        cacheNodeIds=True, checkpointInterval=10)
-    if validation:
-        trees = trees.setParams(validationIndicatorCol=validation, validationTol=tolerance)
-    assembler = VectorAssembler(inputCols=inputs.names, outputCol="features")
-    return Pipeline(stages=[*indexers, assembler, trees]).fit(prepared)
-
-
-def predict(model: Transformer, inputs: TreeInputs, df: DataFrame, keep: Sequence[str], name: str = "prob") -> DataFrame:
-    """``keep`` plus the fraud probability."""
-    raw = df.select(*dict.fromkeys([*keep, *inputs.scaling.names, *inputs.texts]))
-    held = {c: f"_keep_{c}" for c in keep}
-    held_rows = raw.withColumns({h: F.col(c) for c, h in held.items()})
-    scored = model.transform(inputs.transform(held_rows))
-    return scored.select(*[F.col(h).alias(c) for c, h in held.items()], vector_to_array("probability")[1].alias(name))
+@dataclass(frozen=True)
+class FittedTrees:
+    """The model of the best round, and the validation quality after every round that was tried."""
 
+    model: Boosted
+    quality: tuple[float, ...]
+
+    @property
+    def best_round(self) -> int:
+        return len(self.model.trees)
 
-def predicted_class(probability: Column, threshold: float) -> Column:
-    """Strictly above the threshold is fraud."""
-    return (probability > threshold).cast("int")
 
+def tree_table(rows: DataFrame, inputs: TreeInputs, params: TreeParams, label: str, row_id: str, validation: str | None = None,
+               fold: Column | None = None) -> tuple[DataFrame, dict[str, list[float]]]:
+    """(binned rows, bin edges); edges see only rows that ``validation`` does not mark."""
+    held = F.coalesce(F.col(validation), F.lit(False)) if validation else F.lit(False)
+    own_fold = fold if fold is not None else fold_of(row_id)
+    coded = inputs.transform(rows.withColumn("_held", held), F.when(held, UNFITTED).otherwise(own_fold))
+    edges = fit_edges(coded.where(~F.col("_held") & F.col(label).isNotNull()), inputs.names, row_id, params.max_bins)
+    return binned(coded, edges, label, row_id, F.col("_held")), edges
 
-def feature_importance(spark: SparkSession, model: PipelineModel, inputs: TreeInputs) -> DataFrame:
-    """(feature, importance) of the boosted trees, one row per input."""
-    weights = model.stages[-1].featureImportances.toArray().tolist()
-    return spark.createDataFrame(list(zip(inputs.names, weights)), "feature string, importance double")
 
+def fit_trees(train: DataFrame, inputs: TreeInputs, params: TreeParams = TreeParams(), label: str = "isFraud",
+              validation: str | None = None, row_id: str = "TransactionID") -> FittedTrees:
+    """Boosts on the rows that ``validation`` does not mark; the marked ones end it and choose the round."""
+    table, edges = tree_table(train, inputs, params, label, row_id, validation)
+    boosting = Boosting(table, edges, params)
+    model = boosting.run()
+    boosting.close()
+    table.unpersist()
+    return FittedTrees(model, tuple(boosting.quality))
 
-def permuted(df: DataFrame, names: Sequence[str], row_id: str, seed: int = 42, digits: int = 2) -> DataFrame:
-    """Add ``_perm_<name>``: each column shifted along a random cycle of the rows.
 
-    Rows fall into 16**digits random slices by a hash of the id; inside a slice
-    each row takes the next row's values. One shuffle serves all columns.
-    """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")))
-    keyed = df.withColumn("_hash", digest).withColumn("_slice", F.substring("_hash", 1, digits))
-    cycle = Window.partitionBy("_slice").orderBy("_hash", row_id)
-    whole = cycle.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # Values travel in a struct: a NULL value must not be mistaken for the end of the slice.
-    values = F.struct(*names)
-    shifted = keyed.withColumn("_next", F.coalesce(F.lead(values).over(cycle), F.first(values).over(whole)))
-    return shifted.withColumns({f"_perm_{c}": F.col(f"_next.{c}") for c in names}).drop("_hash", "_slice", "_next")
+def predict(model: Boosted, inputs: TreeInputs, df: DataFrame, keep: Sequence[str], name: str = "prob") -> DataFrame:
+    """``keep`` plus the fraud probability."""
+    raw = df.select(*dict.fromkeys([*keep, *inputs.numbers, *inputs.texts]))
+    held = {c: f"_keep_{c}" for c in keep}
+    scored = inputs.transform(raw.withColumns({h: F.col(c) for c, h in held.items()}))
+    return scored.select(*[F.col(h).alias(c) for c, h in held.items()], model.column().alias(name))
+
 
+def contributions(model: Boosted, inputs: TreeInputs, df: DataFrame, keep: Sequence[str], name: str = "contributions") -> DataFrame:
+    """``keep``, the array of each input's share of the row's log odds (in the order of ``inputs.names``), and ``base``."""
+    raw = df.select(*dict.fromkeys([*keep, *inputs.numbers, *inputs.texts]))
+    held = {c: f"_keep_{c}" for c in keep}
+    parts = inputs.transform(raw.withColumns({h: F.col(c) for c, h in held.items()})).select(
+        *[F.col(h).alias(c) for c, h in held.items()], model.contributions().alias("_parts"))
+    n = len(inputs.names)
+    return parts.select(*keep, F.slice("_parts", 1, n).alias(name), F.get("_parts", F.lit(n)).alias("base"))
+
+
+def attribution(model: Boosted, inputs: TreeInputs, df: DataFrame) -> DataFrame:
+    """(feature, mean_abs, mean): how much each input moves the log odds of the rows of ``df``."""
+    rows = contributions(model, inputs, df, [])
+    named = rows.select(F.posexplode("contributions").alias("i", "part"))
+    names = F.array(*[F.lit(n) for n in inputs.names])
+    return named.groupBy("i").agg(F.avg(F.abs("part")).alias("mean_abs"), F.avg("part").alias("mean")).select(
+        F.get(names, F.col("i")).alias("feature"), "mean_abs", "mean")
 
-def permutation_importance(model: PipelineModel, inputs: TreeInputs, df: DataFrame, names: Sequence[str],
-                           label: str = "isFraud", row_id: str = "TransactionID", seed: int = 42) -> DataFrame:
-    """(feature, pr_auc_drop): loss of average precision when a column is shuffled."""
-    mixed = permuted(df, names, row_id, seed)
 
-    def quality(frame: DataFrame) -> float:
-        return average_precision(predict(model, inputs, frame, [label]), label=label).first()[0]
+def predicted_class(probability: Column, threshold: float) -> Column:
+    """Strictly above the threshold is fraud."""
+    return (probability > threshold).cast("int")
+
 
-    base = quality(df)
-    rows = [(c, base - quality(mixed.withColumn(c, F.col(f"_perm_{c}")))) for c in names]
-    return df.sparkSession.createDataFrame(rows, "feature string, pr_auc_drop double")
+def feature_importance(spark: SparkSession, model: Boosted) -> DataFrame:
+    """(feature, importance): share of the total gain, one row per input."""
+    return spark.createDataFrame(list(model.importance().items()), "feature string, importance double")
 
 
 @dataclass(frozen=True)
@@ -194,15 +185,32 @@ def mean_square_score(columns: Sequence[str]) -> Column:
     return total / F.lit(float(len(columns)))
 
 
-def cross_validate(df: DataFrame, inputs: TreeInputs, params: TreeParams, folds: int = 5, label: str = "isFraud",
-                   fold: str = "fold", row_id: str = "TransactionID") -> DataFrame:
-    """(fold, pr_auc): train on the other folds, evaluate on this one. ``df`` should be a written table."""
+# Boosting within folds.
+FOLD_ROUNDS, FOLD_PATIENCE = 500, 30
+
+
+def cross_validate(df: DataFrame, numbers: Sequence[str], texts: Sequence[str], params: TreeParams, folds: int = 5,
+                   label: str = "isFraud", fold: str = "fold", row_id: str = "TransactionID") -> DataFrame:
+    """(fold, best_round, pr_auc): train on the other folds, stop and evaluate on this one.
+
+    ``df`` should be a written table. Nothing of the held fold reaches the
+    inputs: levels are counted once per fold, the held fold's counts are left
+    out, and each other fold's codes leave that fold out as well.
+    """
+    counts = count_levels(df, texts, label, F.col(fold)) if texts else None
+    params = replace(params, rounds=min(params.rounds, FOLD_ROUNDS), patience=min(params.patience, FOLD_PATIENCE))
     rows = []
     for k in range(folds):
-        model = fit_trees(df.where(F.col(fold) != k), inputs, params, label)
+        codes = fit_codes(counts, texts, without=k) if texts else no_codes(df.sparkSession)
+        inputs = TreeInputs(tuple(numbers), codes)
+        table, edges = tree_table(df.withColumn("_is_held", F.col(fold) == k), inputs, params, label, row_id, "_is_held", F.col(fold))
+        boosting = Boosting(table, edges, params)
+        model = boosting.run()
+        boosting.close()
+        table.unpersist()
         held = predict(model, inputs, df.where(F.col(fold) == k), [row_id, label])
-        rows.append((k, average_precision(held, label=label).first()[0]))
-    return df.sparkSession.createDataFrame(rows, "fold int, pr_auc double")
+        rows.append((k, len(model.trees), average_precision(held, label=label).first()[0]))
+    return df.sparkSession.createDataFrame(rows, "fold int, best_round int, pr_auc double")
 
 
 # Search ranges (low, high, logarithmic) of the tree search.
@@ -234,18 +242,57 @@ def sample_trials(n: int, seed: int = 42) -> list[dict[str, float]]:
     return trials
 
 
-def search_trees(train: DataFrame, val: DataFrame, inputs: TreeInputs, trials: Sequence[Mapping[str, float]],
-                 base: TreeParams = TreeParams(), label: str = "isFraud", row_id: str = "TransactionID") -> DataFrame:
-    """(trial, parameters..., val_pr_auc): one boosted model per trial."""
+# Trials that always run to their end, rounds before any trial is pruned, patience within a trial.
+STARTUP_TRIALS, WARMUP_ROUNDS, TRIAL_PATIENCE = 10, 7, 50
+
+
+@dataclass(frozen=True)
+class Search:
+    """``trials``: (trial, state, n_rounds, best_round, val_pr_auc, parameters); ``log``: (study, trial, step, value, complete)."""
+
+    trials: DataFrame
+    log: DataFrame
+
+
+def search_trees(fitting: DataFrame, inputs: TreeInputs, trials: Sequence[Mapping[str, float]], base: TreeParams = TreeParams(),
+                 validation: str = "_is_val", label: str = "isFraud", row_id: str = "TransactionID", rung: int = 4,
+                 startup_trials: int = STARTUP_TRIALS, warmup_rounds: int = WARMUP_ROUNDS) -> Search:
+    """Trials one after the other, each advanced ``rung`` rounds at a time and pruned by the median of completed ones.
+
+    A trial goes on boosting where it stood; nothing is fitted twice. The rows
+    are binned once for all trials. A trial ends pruned at the first step at
+    which ``median_pruning`` over the log says so, else complete.
+    """
     known = set(TreeParams.__dataclass_fields__)
-    rows = []
+    if unknown := {k for t in trials for k in t} - known:
+        raise ValueError(f"parameters that would not be applied: {sorted(unknown)}")
+    spark = fitting.sparkSession
+    table, edges = tree_table(fitting, inputs, base, label, row_id, validation)
+    rows, log, complete = [], [], []
     for i, trial in enumerate(trials):
-        params = replace(base, **{k: v for k, v in trial.items() if k in known})
-        model = fit_trees(train, inputs, params, label)
-        quality = average_precision(predict(model, inputs, val, [row_id, label]), label=label).first()[0]
-        rows.append((i, *[float(v) for v in trial.values()], quality))
+        params = replace(base, **{k: type(getattr(base, k))(v) for k, v in trial.items()}, patience=min(base.patience, TRIAL_PATIENCE))
+        boosting, pruned, checked = Boosting(table, edges, params), None, 0
+        while pruned is None and not boosting.done():
+            boosting.advance(min(rung, params.rounds - len(boosting.trees)))
+            for step in range(checked, len(boosting.quality)):
+                at_step = [c[step] for c in complete if step < len(c)]
+                worse = bool(at_step) and max(boosting.quality[:step + 1]) < float(np.median(at_step))
+                if worse and len(complete) >= startup_trials and step >= warmup_rounds:
+                    pruned = step
+                    break
+            checked = len(boosting.quality)
+        values = boosting.quality if pruned is None else boosting.quality[:pruned + 1]
+        boosting.close()
+        if pruned is None:
+            complete.append(values)
+        log += [("trees", i, step, float(v), pruned is None) for step, v in enumerate(values)]
+        best = int(np.argmax(values)) if values else -1
+        rows.append((i, "complete" if pruned is None else "pruned", len(values), best + 1, values[best] if values else None,
+                     *[float(v) for v in trial.values()]))
+    table.unpersist()
     columns = ", ".join(f"{c} double" for c in trials[0])
-    return train.sparkSession.createDataFrame(rows, f"trial int, {columns}, val_pr_auc double")
+    return Search(spark.createDataFrame(rows, f"trial int, state string, n_rounds int, best_round int, val_pr_auc double, {columns}"),
+                  spark.createDataFrame(log, "study string, trial int, step int, value double, complete boolean"))
 
 
 def search_latent_dim(legit_train: DataFrame, legit_val: DataFrame, width: int, dims: Sequence[int]) -> DataFrame:

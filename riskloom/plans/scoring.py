@@ -15,7 +15,7 @@ from riskloom.plans.training import TrainedModel
 
 def prepare(df: DataFrame, trained: TrainedModel, keep: Sequence[str]) -> DataFrame:
     """``keep`` plus the model's columns: absent ones are 0, numbers are cast, NULLs stay missing."""
-    numbers, texts = set(trained.inputs.scaling.names), set(trained.inputs.texts)
+    numbers, texts = set(trained.inputs.numbers), set(trained.inputs.texts)
     if trained.anomaly:
         numbers = (numbers | set(trained.anomaly.scaling.names)) - {"anomaly_score"}
         texts |= set(trained.anomaly.levels.levels)
