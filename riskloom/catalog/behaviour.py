@@ -179,3 +179,39 @@ def feature_table_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("feature_table_hot_ties", ORDER_FEATURES_SQL)
 def feature_table_hot_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_features(spark, sf_dir, replace(ORDER_SPEC, hot_rows=14, slice_rows=1500))
+
+
+# Rows without an id or a time, and rows that come twice.
+NULL_TX = f"""{TX.replace('tx AS (', 'whole AS (', 1)}, tx_all AS (
+  SELECT CASE WHEN "TransactionID" % 89 <> 0 THEN "TransactionID" END AS "TransactionID", "isFraud",
+    CASE WHEN "TransactionID" % 97 <> 0 THEN "TransactionDT" END AS "TransactionDT", "TransactionAmt", cents, card1, card2, addr1, "P_emaildomain",
+    "DeviceInfo", "DeviceType", "C1", uid1 FROM whole, (VALUES (0), (1)) c(copy) WHERE copy = 0 OR "TransactionID" % 83 = 0),
+tx AS (SELECT * FROM tx_all WHERE "TransactionDT" IS NOT NULL)"""
+REST = ', "DeviceInfo", "DeviceType", "isFraud", card1, card2, addr1, "P_emaildomain", "C1"'
+NULL_FEATURES_SQL = feature_sql(NULL_TX, "addr1", EVENT_DEVICE, REST) + f"""
+UNION ALL SELECT "TransactionID", "TransactionDT", "TransactionAmt", uid1, {', '.join(['NULL'] * 12)}{REST} FROM tx_all WHERE "TransactionDT" IS NULL"""
+
+
+def null_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    row = F.col("TransactionID")
+    copies = F.when(row % 83 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    return transactions(spark, sf_dir).withColumn("_copy", F.explode(copies)).drop("_copy").withColumns({
+        "TransactionDT": F.when(row % 97 != 0, F.col("TransactionDT")), "TransactionID": F.when(row % 89 != 0, row)})
+
+
+@query("feature_table_nulls", NULL_FEATURES_SQL)
+def feature_table_nulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing ids and times and repeated rows, carried through the windows."""
+    return build_features(null_transactions(spark, sf_dir), spec=SPEC)
+
+
+@query("feature_table_nulls_hot", NULL_FEATURES_SQL)
+def feature_table_nulls_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the heavier users cut into slices."""
+    return build_features(null_transactions(spark, sf_dir), spec=replace(SPEC, hot_rows=65, slice_rows=1500))
+
+
+@query("feature_table_nulls_wide", NULL_FEATURES_SQL)
+def feature_table_nulls_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with wide rows that meet their features afterwards."""
+    return build_features(null_transactions(spark, sf_dir), spec=SPEC, carried=0)

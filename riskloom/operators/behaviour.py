@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import exact_mean, exact_std, fixed_point, square
 from riskloom.operators.ordering import (
     HOT_ROWS, SLICE_ROWS, HotKeys, Running, hot_keys, order_slices, sliced_running, split_hot)
+from riskloom.session import written
 
 # Window widths in seconds and the names of their columns.
 COUNT_WIDTHS = {"cnt_5m": 300, "cnt_1h": 3600, "cnt_24h": 86400, "cnt_7d": 604800}
@@ -135,20 +136,22 @@ def _by_user(df: DataFrame, spec: FeatureSpec, parts: tuple[str, ...]) -> DataFr
     by_time = Window.partitionBy(spec.key).orderBy(spec.time)
     upto = by_time.rangeBetween(Window.unboundedPreceding, 0)
 
+    def timed(column: Column) -> Column:
+        return F.when(time.isNotNull(), column)
+
     out = df.withColumn("_units", spec.units)
     first: dict[str, Column] = {}
     if HISTORY in parts:
         first |= {
-            f"cnt_per_{spec.key}": F.count(F.lit(1)).over(earlier),
-            "_n_amt": F.count(units).over(earlier),
-            "_sum_amt": F.sum(units).over(earlier),
-            "_sq_amt": F.sum(square(units)).over(earlier),
+            f"cnt_per_{spec.key}": F.count(time).over(earlier),
+            "_n_amt": F.count(timed(units)).over(earlier),
+            "_sum_amt": F.sum(timed(units)).over(earlier),
+            "_sq_amt": F.sum(timed(square(units))).over(earlier),
         }
     if GAP in parts:
         first["time_since_last_tx"] = F.coalesce(time - F.lag(spec.time).over(in_order), F.lit(0).cast("bigint"))
     if PLACE in parts:
-        place = F.col(spec.place)
-        first["geo_change_dt"] = F.when(place != F.lag(spec.place).over(in_order), time)
+        first["geo_change_dt"] = F.when(F.col(spec.place) != F.lag(timed(F.col(spec.place))).over(in_order), time)
     if first:
         out = out.withColumns(first)
     if HISTORY in parts:
@@ -174,25 +177,28 @@ def _by_user(df: DataFrame, spec: FeatureSpec, parts: tuple[str, ...]) -> DataFr
     if DEVICE in parts:
         seen = F.min(spec.time).over(Window.partitionBy(spec.key, *spec.device))
         out = out.withColumn(f"is_new_device_{spec.key}", _is_first(time, seen))
-    return out.select(*df.columns, *spec.feature_names(parts))
+    # Rows without a time are part of no history and have none.
+    return out.select(*df.columns, *[timed(F.col(n)).alias(n) for n in spec.feature_names(parts)])
 
 
 def _is_first(time: Column, seen: Column) -> Column:
-    return F.when(time.isNull() | (time == seen), 1).otherwise(0).cast("bigint")
+    return F.when(time == seen, 1).otherwise(0).cast("bigint")
 
 
 def _by_slice(df: DataFrame, hot: HotKeys, spec: FeatureSpec, parts: tuple[str, ...]) -> DataFrame:
     """The same features for users too heavy for one task.
 
-    Narrow columns only, joined back on the unique id. Three steps:
-    earlier-row features over range-partitioned slices of (time, id); range
+    Narrow columns only, joined back on a row number that is written with the
+    rows, so ids may be missing or repeat. Three steps: earlier-row features over range-partitioned slices of (time, id); range
     features over one row per (user, second) in slices of a day; first sightings
     by a plain aggregate.
     """
     key, time, row_id = spec.key, spec.time, spec.id
     devices = list(spec.device) if DEVICE in parts else []
     places = [spec.place] if PLACE in parts else []
-    narrow = df.select(row_id, key, time, spec.units.alias("_units"), *dict.fromkeys([*places, *devices]))
+    keyed = written(df.withColumn("_row", F.monotonically_increasing_id()), "hot_rows")
+    narrow = keyed.where(F.col(time).isNotNull()).select(
+        "_row", row_id, key, time, spec.units.alias("_units"), *dict.fromkeys([*places, *devices]))
     out = narrow
 
     if {HISTORY, GAP, PLACE} & set(parts):
@@ -205,8 +211,9 @@ def _by_slice(df: DataFrame, hot: HotKeys, spec: FeatureSpec, parts: tuple[str,
                       Running("_sq_amt", "sum", square(F.col("_units")), False)]
         if GAP in parts or PLACE in parts:
             items.append(Running("_last", "last", F.struct(time, *places), False))
-        cut = order_slices(narrow, [key, time, row_id], hot.rows, slice_rows=spec.slice_rows)
-        out = sliced_running(cut, [key], "_slice", [time, row_id], items, last_by=[time, row_id]).drop("_slice")
+        order = [time, row_id, "_row"]
+        cut = order_slices(narrow, [key, *order], hot.rows, slice_rows=spec.slice_rows)
+        out = sliced_running(cut, [key], "_slice", order, items, last_by=order).drop("_slice")
         if HISTORY in parts:
             out = out.withColumn(f"cnt_per_{key}", F.coalesce(F.col(f"cnt_per_{key}"), F.lit(0).cast("bigint")))
             out = out.withColumns(_history_columns(spec)).drop("_n_amt", "_sum_amt", "_sq_amt")
@@ -229,8 +236,7 @@ def _by_slice(df: DataFrame, hot: HotKeys, spec: FeatureSpec, parts: tuple[str,
         out = out.join(firsts, same).withColumn(f"is_new_device_{key}", _is_first(F.col(time), F.col("_first")))
 
     features = spec.feature_names(parts)
-    result = out.select(F.col(row_id).alias("_row"), *features)
-    return df.join(result, df[row_id] == result["_row"]).select(*df.columns, *features)
+    return keyed.join(out.select("_row", *features), "_row", "left").select(*df.columns, *features)
 
 
 def _range_features(rows: DataFrame, spec: FeatureSpec, parts: tuple[str, ...]) -> DataFrame:
