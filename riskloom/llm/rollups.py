@@ -5,8 +5,10 @@ count is an insert, no new one a delete, both a revision. A batch of changes is
 summed to one signed row per group and committed under its name; totals are the
 sum of what has been committed, so no document is counted again. A batch that
 is already committed is skipped, which makes retries and replays harmless: its
-folder counts only with the marker that Spark's commit leaves, and a half-written
-one is overwritten. ``compact`` folds committed batches into a snapshot.
+folder counts only with the marker that ``commit`` leaves after Spark has written
+it, whatever Spark's own markers are set to, and a half-written one is
+overwritten. ``compact`` folds the batches of one listing into a snapshot; a batch
+committed meanwhile is neither in its totals nor among its names.
 
 Changes are combined before they are shuffled, so a group may hold any share of
 the rows. NULL sources or languages are groups of their own. Rows with neither
@@ -38,7 +40,12 @@ def _children(spark: SparkSession, path: str) -> list[str]:
 
 
 def _whole(spark: SparkSession, path: str) -> bool:
-    return _exists(spark, f"{path}/_SUCCESS")
+    return _exists(spark, f"{path}/_COMMITTED")
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_COMMITTED")
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where, True).close()
 
 
 def deltas(changes: DataFrame, group: tuple[str, ...] = GROUP) -> DataFrame:
@@ -61,6 +68,7 @@ def commit(store: str, batch: str, changes: DataFrame, group: tuple[str, ...] =
     if _whole(spark, path):
         return False
     deltas(changes, group).write.mode("overwrite").parquet(path)
+    _mark(spark, path)
     return True
 
 
@@ -81,10 +89,11 @@ def _snapshot(spark: SparkSession, store: str) -> tuple[str | None, set[str]]:
     return None, set()
 
 
-def totals(spark: SparkSession, store: str, group: tuple[str, ...] = GROUP) -> DataFrame:
-    """(group..., n_docs, n_tokens) over all committed batches."""
+def totals(spark: SparkSession, store: str, group: tuple[str, ...] = GROUP, names: list[str] | None = None) -> DataFrame:
+    """(group..., n_docs, n_tokens) over all committed batches, or over those of an earlier listing ``names``."""
     whole, inside = _snapshot(spark, store)
-    parts = [f"{store.rstrip('/')}/batches/{b}" for b in batches(spark, store) if b not in inside]
+    listed = batches(spark, store) if names is None else names
+    parts = [f"{store.rstrip('/')}/batches/{b}" for b in listed if b not in inside]
     parts += [whole] if whole else []
     if not parts:
         schema = ", ".join(f"{g} string" for g in group) + ", n_docs bigint, n_tokens bigint"
@@ -99,6 +108,8 @@ def compact(spark: SparkSession, store: str, group: tuple[str, ...] = GROUP) ->
     if not names:
         return
     path = f"{store.rstrip('/')}/snapshots/{len(_children(spark, store.rstrip('/') + '/snapshots')):08d}"
-    (totals(spark, store, group).withColumnsRenamed({"n_docs": "docs", "n_tokens": "tokens"})
+    (totals(spark, store, group, names).withColumnsRenamed({"n_docs": "docs", "n_tokens": "tokens"})
      .write.mode("overwrite").parquet(f"{path}/totals"))
+    _mark(spark, f"{path}/totals")
     spark.createDataFrame([(n,) for n in names], "name string").write.mode("overwrite").parquet(f"{path}/names")
+    _mark(spark, f"{path}/names")

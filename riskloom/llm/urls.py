@@ -1,11 +1,13 @@
 """URL filters: rules by host and path, then naive Bayes over the words of host and path.
 
-Hosts run words together. Each name (what stands between dots, hyphens and
-other marks) is split by the most probable sequence of dictionary words. The
-dictionary counts the words of the pages' own texts and of ``BLOCK_TERMS``, and by
-default each name once, which keeps most names whole; without
-``names_are_words`` a name is a word only if the texts have it. It is never broadcast: the substrings of the distinct
-names are joined to it, so a name meets only words that occur in it.
+Hosts run words together. Each name (a run of letters, of any script) is split
+by the most probable sequence of dictionary words. The dictionary counts the
+words of the pages' own texts and of ``BLOCK_TERMS``; a name that no text has as
+a word is no word, so it is split where its parts are words. The dictionary is
+never broadcast: the substrings of the distinct names are joined to it, so a
+name meets only words that occur in it. A run of digits is a token by its
+length. Dictionary words are up to ``MAX_WORD`` letters long; a longer run of
+letters in a name can only be split.
 
 The classifier learns from the urls: those whose host has a word of
 ``BLOCK_TERMS`` are examples to block, the others to allow. Its counts by word
@@ -39,12 +41,13 @@ BLOCK_TERMS = ("adult", "ads", "bets", "betting", "casino", "gambling", "payday"
 # Count that a term has in the dictionary besides its occurrences.
 TERM_COUNT = 100
 # Longest dictionary word.
-MAX_WORD = 20
+MAX_WORD = 32
 SMOOTHING = 1.0
 # Distinct words a task counts before it passes them on.
 FLUSH_WORDS = 200_000
 
-NAMES = "[^a-z]+"  # what separates names in host and path
+# Names in host and path: runs of letters (every character beyond ASCII counts as one) and runs of digits.
+NAMES = r"[a-z\x{80}-\x{10FFFF}]+|[0-9]+"
 
 
 def host(url: Column) -> Column:
@@ -82,8 +85,8 @@ def _page_words(pages: DataFrame, html_column: str) -> DataFrame:
         yield rows(counts)
 
     def rows(counts: Counter) -> pa.RecordBatch:
-        some = [(w, n) for w, n in counts.items() if 1 < len(w) <= MAX_WORD and w.isalpha()]
-        return pa.RecordBatch.from_arrays([pa.array([w.decode() for w, _ in some], pa.string()),
+        some = [(w, n) for w, n in ((w.decode("utf-8", "replace"), n) for w, n in counts.items()) if len(w) <= MAX_WORD]
+        return pa.RecordBatch.from_arrays([pa.array([w for w, _ in some], pa.string()),
                                            pa.array([n for _, n in some], pa.int64())], ["word", "n"])
 
     return pages.select(utf8(F.col(html_column)).alias("_html")).mapInArrow(run, "word string, n bigint")
@@ -132,7 +135,8 @@ def split_names(names: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def _names(text: Column) -> Column:
-    return F.filter(F.split(lower_ascii(text), NAMES), lambda n: n != "")
+    found = F.regexp_extract_all(lower_ascii(text), F.lit(NAMES), F.lit(0))
+    return F.transform(found, lambda n: F.translate(n, "123456789", "000000000"))
 
 
 def _bag(distinct: DataFrame, column: str, splits: DataFrame) -> DataFrame:
@@ -143,8 +147,7 @@ def _bag(distinct: DataFrame, column: str, splits: DataFrame) -> DataFrame:
 
 
 def judge(pages: DataFrame, id_column: str = "page_id", url_column: str = "url", html_column: str = "html",
-          rules: Sequence[tuple[str, str]] = RULES, terms: Sequence[str] = BLOCK_TERMS,
-          names_are_words: bool = True) -> DataFrame:
+          rules: Sequence[tuple[str, str]] = RULES, terms: Sequence[str] = BLOCK_TERMS) -> DataFrame:
     """(id, host, path, rule, verdict, score) of every page; score is the log odds of blocking by the method."""
     url = F.col(url_column).cast("string")
     urls = pages.select(F.col(id_column).alias("_id"), host(url).alias("host"), path(url).alias("path"))
@@ -158,11 +161,7 @@ def judge(pages: DataFrame, id_column: str = "page_id", url_column: str = "url",
     spark = pages.sparkSession
     seeds = spark.createDataFrame([(t, TERM_COUNT) for t in terms], "word string, n bigint")
     words = _page_words(pages, html_column).unionByName(seeds)
-    if names_are_words:
-        words = words.unionByName(names.where(F.length("name") <= MAX_WORD).select(
-            F.col("name").alias("word"), F.lit(1).cast("bigint").alias("n")))
-    dictionary = written(words
-                         .groupBy("word").agg(F.sum("n").alias("n")), "dictionary")
+    dictionary = written(words.groupBy("word").agg(F.sum("n").alias("n")), "dictionary")
     splits = written(split_names(names.select("name"), dictionary), "splits")
     host_bag = written(_bag(hosts, "host", splits), "host-words")
     path_bag = written(_bag(paths, "path", splits), "path-words")

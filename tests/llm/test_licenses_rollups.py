@@ -65,6 +65,36 @@ def test_a_half_written_batch_does_not_count(spark):
     assert [tuple(r) for r in R.totals(spark, store).collect()] == [("a", "en", "1", 1, 10)]
 
 
+def test_a_batch_committed_while_folding(spark, monkeypatch):
+    """Between the listing and the totals of ``compact`` another writer commits."""
+    store = scratch_path(spark, "rollups-test")
+    rows = [spark.createDataFrame([("a", "en", "1", None, n, 1)], CHANGES) for n in (10, 5)]
+    R.commit(store, "1", rows[0])
+    whole = R.totals
+
+    def later(*args, **options):
+        R.commit(store, "2", rows[1])
+        return whole(*args, **options)
+
+    monkeypatch.setattr(R, "totals", later)
+    R.compact(spark, store)
+    monkeypatch.undo()
+    assert [tuple(r) for r in R.totals(spark, store).collect()] == [("a", "en", "1", 2, 15)]
+    R.compact(spark, store)
+    assert [tuple(r) for r in R.totals(spark, store).collect()] == [("a", "en", "1", 2, 15)]
+
+
+def test_commits_without_sparks_markers(spark):
+    store, name = scratch_path(spark, "rollups-test"), "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set(name, "false")
+    try:
+        assert R.commit(store, "1", spark.createDataFrame([("a", "en", "1", None, 10, 1)], CHANGES))
+        assert [tuple(r) for r in R.totals(spark, store).collect()] == [("a", "en", "1", 1, 10)]
+    finally:
+        hadoop.unset(name)
+
+
 def test_distinct_changes(spark):
     rows = spark.createDataFrame([("a", "en", "1", None, 10, 1)] * 3, CHANGES)
     assert R.deltas(R.distinct_changes(rows)).first()["tokens"] == 10 and R.deltas(rows).first()["tokens"] == 30

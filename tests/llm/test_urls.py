@@ -24,7 +24,8 @@ def ruled(host, path):
 
 
 def names(text):
-    return [n for n in re.split("[^a-z]+", re.sub("[A-Z]", lambda m: m.group().lower(), text)) if n]
+    lowered = re.sub("[A-Z]", lambda m: m.group().lower(), text)
+    return [re.sub("[0-9]", "0", n) for n in re.findall("[a-z\x80-\U0010ffff]+|[0-9]+", lowered)]
 
 
 def brute(rows):
@@ -34,11 +35,8 @@ def brute(rows):
     for _, _, html in rows:
         text = tags.sub(b" ", (html or "").encode())
         counts.update(w.decode() for w in re.sub(rb"[^a-z\x80-\xff]+", b" ", text.lower()).split()
-                      if 1 < len(w) <= U.MAX_WORD and w.isalpha())
+                      if len(w.decode()) <= U.MAX_WORD)
     hosts, paths = {h for h, _ in urls}, {p for _, p in urls}
-    for n in {n for t in hosts | paths for n in names(t)}:
-        if len(n) <= U.MAX_WORD:
-            counts[n] += 1
     for t in U.BLOCK_TERMS:
         counts[t] += U.TERM_COUNT
     total = math.log(sum(counts.values()))
@@ -80,7 +78,7 @@ def test_odd_urls(spark):
             (4, "http://x.net", "<p>cheap pills</p>"), (5, "http://x.net/", None), (6, "ftp://b.org/fr/?q://z", ""),
             (7, "http://notexample.com/de/", ""), (8, "http://example.com/de/1#a", ""), (9, "http://cheappills.io/a", ""),
             (10, "http://buy-pills.io/a", ""), (10, "http://buy-pills.io/a", ""), (11, "http://" + "a" * 300 + ".io/" + "b" * 300, ""),
-            (12, "://", ""), (13, "http://h\n.net/x\ny", "")]
+            (12, "://", ""), (14, "http://münchenürlaub9.de/2024/x", "<p>ürlaub münchen x</p>"), (13, "http://h\n.net/x\ny", "")]
     pages = spark.createDataFrame([(*r, 0, 0) for r in rows], "page_id bigint, url string, html string, host int, score int")
     found = U.judge(pages).collect()
     assert {r["page_id"]: tuple(r)[1:] for r in found} == brute(rows) and len(found) == len(rows)
