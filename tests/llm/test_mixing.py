@@ -70,6 +70,37 @@ def test_weights_decide_who_is_drawn(spark):
     assert len(drawn) == 1000 and 2.5 < good / (1000 - good) < 4.5
 
 
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("budget", [0.79, 0.24, 0.5])
+def test_one_huge_document(spark, budget, seed):
+    """A hundred documents of 1,000 words and one of 100,000: targets that a choice of them meets are met."""
+    docs = spark.createDataFrame([(i, "w " * (100_000 if i == 40 else 1000), "s") for i in range(101)], "doc_id bigint, text string, source string")
+    rows = M.mix_report(docs, budget=budget, seed=seed).collect()
+    assert abs(sum(r["taken"] for r in rows) - 200_000 * budget) <= 500
+
+
+def test_sizes_of_all_magnitudes(spark):
+    rows = [(i, "w " * (1 << i % 15), "ab"[i % 2]) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    for seed in range(3):
+        taken, target = defaultdict(int), {}
+        for r in M.mix_report(docs, seed=seed, budget=0.7).collect():
+            taken[rows[r["doc_id"]][2]] += r["taken"]
+            target[rows[r["doc_id"]][2]] = r["target"]
+        assert all(abs(taken[s] - target[s]) <= max(1, 0.001 * target[s]) for s in target)
+
+
+def test_mix_equals_report_with_repeated_rows_and_shared_ids(spark):
+    rows = [(i % 40, "w " * (i % 40 % 7 + 3), "ab"[i % 3 == 0]) for i in range(160)] + [(5, "w " * 8, "a")] * 9
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    planned, mixed = M.mix_report(docs).collect(), by_source([(r[0], r[1], None, r[2]) for r in M.mixed(docs).collect()])
+    assert sum(mixed.values()) == sum(r["taken"] for r in planned)
+    want = {r["source_size"]: r["target"] for r in planned}
+    sizes = by_source([(i, t, None, s) for i, t, s in rows])
+    for s in sizes:
+        assert abs(mixed[s] - want[sizes[s]]) <= 5
+
+
 def test_mix_repeats_documents(spark, documents):
     taken = {r["doc_id"]: r["taken"] // r["size"] for r in M.mix_report(documents).collect() if r["size"]}
     mixed = M.mixed(documents)
