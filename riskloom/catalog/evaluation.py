@@ -138,6 +138,21 @@ def score_kde(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve.withColumns({"x": F.round("x", 8), "density": F.round("density", 8)})
 
 
+@query("score_kde_binned", f"""WITH {SCORED},
+r AS (SELECT "isFraud", min(prob) AS lo, max(prob) AS hi, count(*) AS total,
+  pow(CAST(count(*) AS DOUBLE), CAST(-0.2 AS DOUBLE)) * stddev_samp(prob) AS h, (max(prob) - min(prob)) / 511.0::DOUBLE AS d FROM scored GROUP BY "isFraud"),
+p AS (SELECT "isFraud", (prob - lo) / d AS place, least(floor((prob - lo) / d), 510) AS cell FROM scored JOIN r USING ("isFraud")),
+w AS (SELECT "isFraud", cell, sum(k) AS k FROM (SELECT "isFraud", cell, cell + 1 - place AS k FROM p
+  UNION ALL SELECT "isFraud", cell + 1, place - cell FROM p) u GROUP BY "isFraud", cell),
+g AS (SELECT r.*, CAST(i AS INTEGER) AS point, lo + i * (hi - lo) / 199.0::DOUBLE AS x FROM r, range(200) t(i))
+SELECT g."isFraud", point, round(x, 8) AS x, round(sum(k * exp(-0.5::DOUBLE * pow((x - (lo + cell * d)) / h, 2))) / (max(total) * max(h) * sqrt(2 * pi())), 8) AS density,
+  round(max(d * d / (8 * sqrt(2 * pi()) * pow(h, 3))), 8) AS bound
+FROM g JOIN w USING ("isFraud") GROUP BY g."isFraud", point, x""")
+def score_kde_binned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    curve = curves.score_kde_binned(scored(spark, sf_dir), cells=512)
+    return curve.withColumns({c: F.round(c, 8) for c in ("x", "density", "bound")})
+
+
 @query("recon_errors", f"""WITH {TX}, e AS (SELECT CAST(card1 AS BIGINT) - cents AS a, cents % 1000 - CAST("C1" AS BIGINT) AS b FROM tx),
 t AS (SELECT sum(a * a) + sum(b * b) AS sq, sum(abs(a)) + sum(abs(b)) AS ab, count(a) + count(b) AS n FROM e)
 SELECT CAST(n AS BIGINT) AS n, CAST(sq AS DOUBLE) / n AS val_loss, sqrt(CAST(sq AS DOUBLE) / n) AS rmse, CAST(ab AS DOUBLE) / n AS mae FROM t""")

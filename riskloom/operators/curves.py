@@ -170,3 +170,37 @@ def score_kde(df: DataFrame, grid: int = 200, score: str = "prob", label: str =
     kernel = F.exp(F.lit(-0.5) * z * z) * F.col("_w")
     norm = F.first("_all") * F.first("_h") * F.sqrt(F.lit(2.0) * F.pi())
     return spread.groupBy(label, "point").agg(F.first(x).alias("x"), (F.sum(kernel) / norm).alias("density"))
+
+
+# Cells that scores of a class are dealt to before the kernel is applied.
+KDE_CELLS = 4096
+
+
+def score_kde_binned(df: DataFrame, grid: int = 200, score: str = "prob", label: str = "isFraud", cells: int = KDE_CELLS) -> DataFrame:
+    """``score_kde`` with work that does not depend on the number of distinct scores.
+
+    Every score is shared by the two nearest of ``cells`` even points, by its
+    distance to them, and the kernel is applied to the points. That interpolates
+    the kernel linearly, so a density is off by at most ``bound`` = d^2 /
+    (8 sqrt(2 pi) h^3), with the points d apart and the bandwidth h.
+    """
+    s = F.col(score).cast("double")
+    scored = df.where(s.isNotNull()).select(F.col(label).alias(label), s.alias("_s"))
+    stats = scored.groupBy(F.col(label).alias("_l")).agg(
+        F.min("_s").alias("_lo"), F.max("_s").alias("_hi"), F.count(F.lit(1)).alias("_all"), F.stddev("_s").alias("_std"))
+    stats = stats.withColumn("_h", F.pow(F.col("_all").cast("double"), F.lit(-0.2)) * F.col("_std")).where(F.col("_h") > 0)
+    stats = F.broadcast(stats.withColumn("_d", (F.col("_hi") - F.col("_lo")) / F.lit(float(cells - 1))))  # one row per class, 0 and 1
+    joined = scored.join(stats, scored[label].eqNullSafe(stats["_l"]))
+    place = (F.col("_s") - F.col("_lo")) / F.col("_d")
+    cell = F.least(F.floor(place), F.lit(cells - 2).cast("bigint"))
+    shared = joined.select(label, F.inline(F.array(
+        F.struct(cell.alias("cell"), (cell + 1 - place).alias("w")), F.struct((cell + 1).alias("cell"), (place - cell).alias("w")))))
+    weights = shared.groupBy(label, "cell").agg(F.sum("w").alias("_w"))
+    spread = weights.join(stats, weights[label].eqNullSafe(stats["_l"])).withColumn(
+        "point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    x = F.col("_lo") + F.col("point") * (F.col("_hi") - F.col("_lo")) / F.lit(float(grid - 1))
+    z = (x - (F.col("_lo") + F.col("cell") * F.col("_d"))) / F.col("_h")
+    norm = F.first("_all") * F.first("_h") * F.sqrt(F.lit(2.0) * F.pi())
+    bound = F.first("_d") * F.first("_d") / (8 * F.sqrt(F.lit(2.0) * F.pi()) * F.pow(F.first("_h"), F.lit(3.0)))
+    return spread.groupBy(label, "point").agg(
+        F.first(x).alias("x"), (F.sum(F.exp(F.lit(-0.5) * z * z) * F.col("_w")) / norm).alias("density"), bound.alias("bound"))

@@ -109,23 +109,19 @@ def parse_records(df: DataFrame, schema: T.StructType, body: str = "body") -> Da
         return value.isNotNull() & ((name.isin(longs) & whole_number(value).isNull())
                                     | (name.isin(doubles) & value.try_cast("double").isNull()))
 
-    # Types are checked on the present fields only; a record usually has few of the declared ones.
-    given = F.from_json(body, T.MapType(T.StringType(), T.StringType()))
-    rejected = F.coalesce(F.map_keys(F.map_filter(given, wrong)), F.array(F.lit(body)))
-
-    def typed(f: T.StructField) -> str:
-        text = f"_r.`{f.name}`"
-        if isinstance(f.dataType, T.StringType):
-            return f"{text} AS `{f.name}`"
-        number = f"try_cast({text} AS {f.dataType.simpleString()})"
+    # The text is parsed once, into its present fields; a record usually has few of the declared ones.
+    given = df.withColumn("_given", F.from_json(body, T.MapType(T.StringType(), T.StringType())))
+    rejected = F.coalesce(F.map_keys(F.map_filter("_given", wrong)), F.array(F.lit(body)))
+
+    def typed(f: T.StructField) -> Column:
+        text = F.try_element_at("_given", F.lit(f.name))
         if isinstance(f.dataType, T.LongType):
-            whole = f"try_cast({text} AS DOUBLE)"
-            number = f"coalesce({number}, CASE WHEN {whole} = floor({whole}) THEN try_cast({whole} AS BIGINT) END)"
-        return f"{number} AS `{f.name}`"
+            text = whole_number(text)
+        elif not isinstance(f.dataType, T.StringType):
+            text = text.try_cast(f.dataType)
+        return text.alias(f.name)
 
-    texts = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema])
-    return (df.withColumn("rejected", rejected).withColumn("_r", F.from_json(body, texts))
-            .selectExpr(*df.columns, "rejected", *[typed(f) for f in schema]))
+    return given.select(*[F.col(f"`{c}`") for c in df.columns], rejected.alias("rejected"), *[typed(f) for f in schema])
 
 
 def accepted(parsed: DataFrame) -> DataFrame:

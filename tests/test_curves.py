@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +122,15 @@ def test_unscored_rows_are_left_out(spark):
     df = spark.createDataFrame([(1, None), (1, 0.7), (0, 0.2)], "isFraud int, prob double")
     assert curves.curve_points(df).count() == 2
     assert tuple(curves.confusion(df, 0.5).first()) == (1, 0, 1, 0)
+
+
+def test_binned_density_keeps_its_bound(spark):
+    draw = np.random.default_rng(2)
+    scores = np.concatenate([draw.normal(0.3, 0.05, 60_000), draw.beta(2, 5, 40_000)])
+    labels = (np.arange(len(scores)) % 10 == 0).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"prob": scores, "isFraud": labels}))
+    for r in curves.score_kde_binned(df, grid=25).collect():
+        own = scores[labels == r["isFraud"]]
+        h = len(own) ** -0.2 * own.std(ddof=1)
+        exact = np.exp(-0.5 * ((r["x"] - own) / h) ** 2).sum() / (len(own) * h * np.sqrt(2 * np.pi))
+        assert abs(r["density"] - exact) <= r["bound"] + 1e-9 and r["bound"] < 0.05

@@ -105,3 +105,28 @@ def test_decision_branches(spark):
     assert found[5] == (None, True, "Fraud (Blocked by Fallback rules)")
     assert found[6] == found[7] == (None, False, "Legit (Passed Fallback rules)")
     assert df.where(fallback_fraud()).count() == 1
+
+
+def test_two_writers_of_metadata(spark, tmp_path, monkeypatch):
+    """A second writer commits between the first one's look at the versions and its own commit."""
+    path = str(tmp_path / "meta")
+    metadata.add_meta(spark, path, {"a": 1})
+    look, other = metadata._versions, []
+
+    def stale(*args):
+        found = look(*args)
+        if not other:
+            other.append(1)
+            other.append(metadata.add_meta(spark, path, {"b": 2, "a": 5}))
+        return found
+
+    monkeypatch.setattr(metadata, "_versions", stale)
+    assert metadata.add_meta(spark, path, {"a": 3}) == 3 and other[1] == 2
+    assert metadata.read_meta(spark, path) == {"a": 3, "b": 2}
+    assert sorted(tuple(r) for r in metadata.meta_table(spark, path).collect()) == [("a", "3", 3), ("b", "2", 2)]
+
+
+def test_records_are_parsed_once(spark):
+    df = spark.createDataFrame([('{"TransactionID": 1}',)], "body string")
+    plan = readers.parse_records(df, schema.request_schema())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
