@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,18 +35,34 @@ def utf8(column: Column) -> Column:
     return F.coalesce(column.cast("binary"), F.lit(b""))
 
 
+# Pieces after which a worker gives freed memory back; workers live on from stage to stage.
+RELEASE_PIECES = 64
+
+
+def release_memory() -> None:
+    """Returns memory that is free inside the process to the system, where the C library can do that."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def pieces(batches: Iterator[pa.RecordBatch], column: int | str, limit: int = PIECE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded rows and, but for single long texts, bounded bytes of ``column``."""
+    given = 0
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         start = held = 0
         for i, n in enumerate(lengths):
             if i > start and (i - start >= PIECE_ROWS or held + n > limit):
                 yield batch.slice(start, i - start)
-                start, held = i, 0
+                start, held, given = i, 0, given + 1
+                if given % RELEASE_PIECES == 0:
+                    release_memory()
             held += n
         if start < batch.num_rows:
             yield batch.slice(start)
+    release_memory()
 
 
 def total_bytes(df: DataFrame, column: str) -> int:

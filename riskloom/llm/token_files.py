@@ -107,6 +107,11 @@ class WordCache:
         # Learned words lie in sorted layers, the latest one small, so that a new word does not copy all others.
         self.layers = [Layer.empty(), Layer.empty()]
 
+    def settle(self) -> None:
+        """Drops what a worker need not keep between tasks: most of a full memory of words."""
+        if 2 * self._count() > self.size:
+            self._forget()
+
     def _count(self) -> int:
         return sum(len(layer.keys) for layer in self.layers)
 
@@ -330,6 +335,7 @@ def write_sequences(docs: DataFrame, tokenizer: str, folder: str | None = None,
         if target is not None:
             target.close()
             sink.close()
+            words.settle()
             yield pa.RecordBatch.from_pydict({"part": [part], "path": [path], "documents": [target.documents],
                                               "sequences": [target.sequences], "ids": [target.total]})
 
