@@ -56,11 +56,6 @@ def gbt_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(rows, "round int, val_pr_auc double, best boolean")
 
 
-@query("gbt_importance")
-def gbt_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.feature_importance(spark, fitted(features(spark, sf_dir))[0].model)
-
-
 @query("gbt_predict")
 def gbt_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = features(spark, sf_dir)
