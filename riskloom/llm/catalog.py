@@ -76,10 +76,10 @@ def repeated_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeats(table(spark, sf_dir, "documents"))
 
 
-@query("op7_licenses", licenses.scan_sql())
+@query("op7_licenses", licenses.find_sql())
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """License notices in every document."""
-    return licenses.scan(table(spark, sf_dir, "documents"), licenses.notices(spark))
+    """Licenses, headers and notices in every document."""
+    return licenses.find(table(spark, sf_dir, "documents"), licenses.known_texts(spark))
 
 
 ALNUM_WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
