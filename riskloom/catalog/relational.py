@@ -13,6 +13,8 @@ from riskloom.operators.behaviour import velocity_counts
 from riskloom.operators.columns import case_label, user_keys
 from riskloom.operators.joins import assemble, attach_scores, join_identity, update_from
 from riskloom.operators.ranking import group_mean_per_row, rank_within, top_within
+from riskloom.session import parallelism, scratch_path
+from riskloom.sources.sinks import save_bucketed
 
 CENTS = "CAST(round({0} * 100) AS BIGINT)"
 
@@ -69,14 +71,33 @@ def join_identity_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_identity(documents, table(spark, sf_dir, "labels"), "doc_id")
 
 
-@query("join_assemble", f"""WITH {TX}, f AS (SELECT "TransactionID", {COUNTS} FROM tx)
-  SELECT f.*, "TransactionAmt", "isFraud", addr1, "DeviceInfo" FROM f LEFT JOIN tx USING ("TransactionID")""")
+ASSEMBLED = f"""WITH {TX}, f AS (SELECT "TransactionID", {COUNTS} FROM tx)
+  SELECT f.*, "TransactionAmt", "isFraud", addr1, "DeviceInfo" FROM f LEFT JOIN tx USING ("TransactionID")"""
+RAW = ["TransactionID", "TransactionAmt", "isFraud", "addr1", "DeviceInfo"]
+
+
+@query("join_assemble", ASSEMBLED)
 def join_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = transactions(spark, sf_dir).select("TransactionID", "TransactionAmt", "isFraud", "addr1", "DeviceInfo")
+    raw = transactions(spark, sf_dir).select(*RAW)
     features = velocity_counts(user_keys(transactions(spark, sf_dir)), SPEC).select("TransactionID", *SPEC.count_widths)
     return assemble(features, raw)
 
 
+def bucketed(rows: DataFrame, name: str) -> DataFrame:
+    """A table of its own, dealt by the id into as many buckets as the session shuffles to."""
+    spark = rows.sparkSession
+    path = scratch_path(spark, name)
+    return save_bucketed(rows, path.rsplit("/", 1)[1].replace("-", "_"), path, "TransactionID", parallelism(spark))
+
+
+@query("join_assemble_bucketed", ASSEMBLED)
+def join_assemble_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Features and raw columns from tables stored by id: neither the check for repeated ids nor the join shuffles."""
+    raw = bucketed(transactions(spark, sf_dir).select(*RAW), "raw_columns")
+    counts = velocity_counts(user_keys(transactions(spark, sf_dir)), SPEC).select("TransactionID", *SPEC.count_widths)
+    return assemble(bucketed(counts, "count_features"), raw)
+
+
 @query("join_update", """SELECT d.doc_id, d.lang, CASE WHEN l.doc_id IS NOT NULL THEN CAST(l.quality AS BIGINT) ELSE d.n_chars END AS n_chars
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def join_update(spark: SparkSession, sf_dir: str) -> DataFrame:

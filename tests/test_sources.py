@@ -130,3 +130,31 @@ def test_records_are_parsed_once(spark):
     df = spark.createDataFrame([('{"TransactionID": 1}',)], "body string")
     plan = readers.parse_records(df, schema.request_schema())._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("from_json") == 1
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, sf_dir, tmp_path):
+    from riskloom.catalog import relational
+    from riskloom.operators.joins import assemble
+    from riskloom.sources.sinks import save_bucketed
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = relational.join_assemble_bucketed(spark, sf_dir)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        plain = relational.join_assemble(spark, sf_dir)
+        assert "Exchange" in plain._jdf.queryExecution().executedPlan().toString()
+        assert rows.columns == plain.columns and rows.exceptAll(plain).isEmpty() and rows.count() == plain.count()
+
+        # The check for repeated ids is one scan, too; rows without an id are kept and meet nothing.
+        keyed = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "TransactionID bigint, x string")
+        raw = save_bucketed(keyed, "raw_of_test", f"{tmp_path}/raw", "TransactionID", 3)
+        counts = raw.groupBy("TransactionID").count()
+        assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+        left = save_bucketed(keyed.withColumnRenamed("x", "f"), "left_of_test", f"{tmp_path}/left", "TransactionID", 3)
+        assert sorted(map(tuple, assemble(left, raw).collect()), key=str) == [(1, "a", "a"), (2, "b", "b"), (None, "c", None)]
+        with pytest.raises(Exception, match="raw_of_test"):
+            save_bucketed(keyed, "raw_of_test", f"{tmp_path}/other", "TransactionID", 3)
+        assert raw.count() == 3
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
