@@ -14,6 +14,7 @@ them. ``shared_passages`` finds every one, in full length:
 Equal texts are worked off once, with a count. Runs are told apart by a 64-bit
 hash: among n of them about n^2 / 2^65 pairs would wrongly count as equal.
 
+``remove_passages`` cuts them out of all documents but the first that has them.
 ``repeats`` adds the lines that are equal or similar as a whole (see
 ``paragraphs``), which may be shorter than a passage or edited.
 
@@ -128,6 +129,11 @@ def shared_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str
     (documents that have them, at most), removed (this document is not the
     first). Every word of a run that another document has is in a row.
     """
+    return _located(docs, id_column, text_column, passage, anchor).withColumnRenamed("doc", id_column).drop("key")
+
+
+def _located(docs: DataFrame, id_column: str, text_column: str, passage: int, anchor: int) -> DataFrame:
+    """``shared_passages`` with a hash of the text, which tells rows with one id apart."""
     text = F.col(text_column).cast("string")
     rows = docs.select(F.col(id_column).alias("doc"), F.xxhash64(text).alias("key"), text.alias("text")).where("text IS NOT NULL")
     anchors = written(_anchors(rows.select("key", "text"), passage, anchor), "anchors")
@@ -169,7 +175,7 @@ def shared_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str
     out = rows.select("doc", "key").join(flat, "key")
     first = F.col("own") & F.col("doc").eqNullSafe(F.col("o_doc"))
     return out.select(
-        F.col("doc").alias(id_column), F.col("line").cast("bigint").alias("paragraph"), F.col("start").cast("bigint").alias("start"),
+        "doc", "key", F.col("line").cast("bigint").alias("paragraph"), F.col("start").cast("bigint").alias("start"),
         F.col("n_words").cast("bigint").alias("n_words"), F.col("o_doc").alias("component_id"),
         F.col("o_line").cast("bigint").alias("component_paragraph"), F.col("o_place").cast("bigint").alias("component_start"),
         F.col("n").cast("bigint").alias("n_paragraphs"), (~first).alias("removed"))
@@ -182,3 +188,52 @@ def repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     lines = paragraphs.repeats(docs, id_column, text_column, **options).withColumns(
         {"start": none, "component_start": none, "kind": F.lit("line")})
     return spans.unionByName(lines)
+
+
+def _without(column: pa.Array, counts: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> pa.Array:
+    """The texts without spans of words; ``counts`` spans of each text, in order. White space around a span stays."""
+    words = split(column, NOT_WHITE, lower=False)
+    first = np.repeat(words.first[:-1], counts) + starts
+    # Spans may overlap, so their ends are counted against their beginnings.
+    depth = np.zeros(len(words.data) - 8 + 1, np.int32)
+    np.add.at(depth, words.starts[first], 1)
+    np.add.at(depth, words.ends[first + lengths - 1], -1)
+    kept = np.cumsum(depth[:-1]) == 0
+    places = np.concatenate([[0], np.cumsum(kept)])[words.texts]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(column), [
+        None, pa.py_buffer(places.astype(np.int64)), pa.py_buffer(words.data[:-8][kept])]).cast(pa.large_string()).cast(pa.string())
+
+
+def remove_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", passage: int = PASSAGE,
+                    anchor: int = ANCHOR) -> DataFrame:
+    """The documents without the passages that an earlier document has, all other text as it is.
+
+    Of every run of ``passage`` words the first document keeps it, and no word
+    goes that does not stand in an earlier document. Documents without id and
+    rows without such a passage stay as they are, as do repeated rows of the
+    first document; all columns are kept. Spans of a document travel as one list,
+    which is no longer than its text.
+    """
+    found = _located(docs, id_column, text_column, passage, anchor).where("removed AND doc IS NOT NULL")
+    # Rows with the same id and text have the same spans.
+    cut = (found.select("doc", "key", "start", "n_words").distinct().groupBy(F.col("doc").alias("_cut_id"), F.col("key").alias("_cut_key"))
+           .agg(F.collect_list(F.struct("start", "n_words")).alias("spans")))
+    whole = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), docs[id_column].alias("id"),
+                        docs[text_column].cast("string").alias("text"))
+    marked = whole.withColumn("key", F.xxhash64("text")).join(
+        cut, (F.col("id") == F.col("_cut_id")) & (F.col("key") == F.col("_cut_key")), "left").select(
+        "row", "text", F.col("spans.start").alias("starts"), F.col("spans.n_words").alias("lengths"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches, "text"):
+            lists, texts = piece.column("starts"), piece.column("text")
+            hit = pc.fill_null(pc.list_value_length(lists), 0).to_numpy().astype(np.int64)
+            if hit.any():
+                starts, lengths = (pc.list_flatten(piece.column(c)).to_numpy().astype(np.int64) for c in ("starts", "lengths"))
+                # A NULL text has no spans and stays NULL.
+                texts = pc.if_else(pc.is_null(texts), texts, _without(pc.fill_null(texts, ""), hit, starts, lengths))
+            yield pa.RecordBatch.from_arrays([piece.column("row"), texts], ["row", "text"])
+
+    kind = marked.schema["row"].dataType.simpleString()
+    left = marked.mapInArrow(run, f"row {kind}, text string")
+    return left.select(*[F.col("text").alias(c) if c == text_column else F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -81,3 +81,47 @@ def test_query_has_passages_and_lines(spark, sf_dir, documents):
     rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
     assert found([r for r in got if r["kind"] == "passage"]) == covered(rows)
     assert sum(r["kind"] == "line" for r in got) == paragraphs.repeats(documents).count()
+
+
+def left_over(rows, width=P.PASSAGE):
+    """(id, words kept) of every row, by brute force: the first document of each window keeps it."""
+    split = [(text or "").encode().translate(LOW).split() for _, text in rows]
+    first = {}
+    for (i, _), own in sorted(zip(rows, split), key=lambda r: (r[0][0] is None, r[0][0] or 0)):
+        for k in range(len(own) - width + 1):
+            first.setdefault(tuple(own[k:k + width]), i)
+    out = []
+    for (i, _), own in zip(rows, split):
+        gone = set()
+        for k in range(len(own) - width + 1):
+            if i is not None and first[tuple(own[k:k + width])] != i:
+                gone |= set(range(k, k + width))
+        out.append((i, [w for k, w in enumerate(own) if k not in gone]))
+    return sorted(out, key=str)
+
+
+def kept(frame):
+    return sorted(((r["doc_id"], (r["text"] or "").encode().translate(LOW).split()) for r in frame.collect()), key=str)
+
+
+def test_removal_against_all_windows(documents):
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()]
+    left = P.remove_passages(documents)
+    assert left.columns == documents.columns and kept(left) == left_over(rows)
+    assert P.shared_passages(left).where("component_id <> doc_id").count() < P.shared_passages(documents).where("component_id <> doc_id").count()
+
+
+def test_removal_leaves_other_text_alone(spark):
+    passage = words("p", 60)
+    rows = [(1, " ".join(passage)), (2, "Ünï  A\n\n" + "\t".join(passage).upper() + " \n B ß\n"), (2, "other\ttext  here "), (3, None), (4, ""),
+            (None, " ".join(passage)), (5, " ".join(passage[:55])), (6, "x " + " ".join(passage + words("q", 70))), (7, " ".join(words("q", 70)) + "\ny")]
+    got = sorted(((r["doc_id"], r["text"]) for r in P.remove_passages(frame(spark, rows)).collect()), key=str)
+    assert got == sorted([(1, rows[0][1]), (2, "Ünï  A\n\n \n B ß\n"), (2, "other\ttext  here "), (3, None), (4, ""), (None, rows[5][1]), (5, ""),
+                          (6, "x  " + " ".join(words("q", 70))), (7, "\ny")], key=str)
+
+
+def test_removal_of_odd_rows(odd, odd_rows, empty):
+    left = P.remove_passages(odd)
+    assert left.columns == odd.columns and left.schema["_cut"].dataType == odd.schema["_cut"].dataType
+    assert kept(left) == left_over([r[:2] for r in odd_rows])
+    assert P.remove_passages(empty).count() == 0
