@@ -184,3 +184,13 @@ def test_only_needed_columns_are_read(spark, tmp_path):
     wide = spark.read.parquet(f"{tmp_path}/t")
     plan = behaviour(wide, SPEC, ["velocity"]).select("TransactionID", "cnt_5m")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<TransactionID:bigint,uid1:string,TransactionDT:bigint>" in plan
+
+
+@pytest.mark.parametrize("spec", [SPEC, replace(SPEC, hot_rows=0, slice_rows=2)], ids=["plain", "hot"])
+def test_missing_ids_come_last_in_their_second(spark, spec):
+    rows = [(None, "u0", 100, 3.0, 1.0, "p"), (7, "u0", 100, 5.0, 2.0, "p"), (9, "u0", 200, 8.0, 2.0, "p"), (2, "u0", 50, 1.0, 1.0, "p")]
+    df = spark.createDataFrame(rows, "TransactionID bigint, uid1 string, TransactionDT bigint, TransactionAmt double, addr1 double, DeviceInfo string")
+    found = behaviour(df.withColumn("DeviceType", F.lit("d")), spec).select(
+        "TransactionID", "cnt_per_uid1", "time_since_last_tx", "avg_amt_per_uid1", "geo_change_dt")
+    assert {tuple(r) for r in found.collect()} == {
+        (2, 0, 0, None, None), (7, 1, 50, 1.0, 100), (None, 2, 0, 3.0, 100), (9, 3, 100, 3.0, 200)}
