@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators.ordering import (
-    Running, hot_keys, keys_at, order_slices, plain_running, running, sliced_running, value_slices)
+    MANY_SLICES, SLICE_ROWS, Running, hot_keys, keys_at, order_slices, plain_running, running, slice_count, sliced_running,
+    value_slices)
 from riskloom.operators.ranking import rank_within, top_within
 from riskloom.operators.splits import split_sizes, stratified_folds, time_cuts, time_split
 from riskloom.session import scratch_path, shared_dir
@@ -131,3 +132,11 @@ def test_folds_are_even_per_label(spark):
 def test_shared_folder_is_kept(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_small_slices_do_not_multiply_with_the_rows(spark):
+    df = spark.range(3 * MANY_SLICES).withColumn("t", F.col("id"))
+    cut = order_slices(df, ["t", "id"], 3 * MANY_SLICES, slice_rows=1)
+    assert len(cut.inputFiles()) <= MANY_SLICES
+    assert slice_count(54_000_000, 1000) == MANY_SLICES and slice_count(300, 7) == 43
+    assert slice_count(1000 * MANY_SLICES * SLICE_ROWS, 1000) == 1000 * MANY_SLICES
