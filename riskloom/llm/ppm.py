@@ -19,9 +19,10 @@ the corpus:
    ``OWNED`` context bytes turn counts into code lengths: the longer contexts
    are theirs alone, those of up to two bytes come from a table of at most
    256 ** 3 entries (12 bytes each), the only broadcast.
-3. The code lengths go back to the chunks that asked, which add them up.
+3. The code lengths go back to the chunks that asked, sorted before their documents,
+   which then pass by in pieces and add them up.
 
-A task holds one chunk, or the strings of one three-byte suffix (at most
+A task holds the distinct strings and words of one chunk, or the strings of one three-byte suffix (at most
 2 ** 24), whatever the corpus.
 
 NULL and empty texts are an end alone. Documents are dealt by id and text, so
@@ -295,37 +296,55 @@ def trie(counts: DataFrame) -> DataFrame:
 # ---- scoring ------------------------------------------------------------------------------------------------
 
 
-def _score_chunk(tokens: int, types: int):
+# Kinds of rows a chunk's task reads, in this order: answers first, so that the documents can pass by one piece at a time.
+GRAM, WORD, DOCUMENT = 0, 1, 2
+
+
+def _score_chunks(tokens: int, types: int):
     total = tokens + 0.5 * (types + 1)
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        is_gram = answers.column("is_gram").to_numpy()
-        key = answers.column("key").to_numpy().view(np.uint64)
-        value = answers.column("value").to_numpy()
-        gram, cost = _sorted(key[is_gram], value[is_gram])
-        word, count = _sorted(key[~is_gram], value[~is_gram])
+    def scored(piece: pa.RecordBatch, gram: np.ndarray, cost: np.ndarray, word: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+        words = split(piece.column("text"), NOT_WHITE, lower=True)
+        n, of = len(piece), words.text_of()
         ends = float(count[0]) if len(word) and word[0] == END_HASH else 0.0
-        out = []
-        for piece in pieces(iter(docs.to_batches()), "text", PIECE_BYTES):
-            words = split(piece.column("text"), NOT_WHITE, lower=True)
-            n, of = len(piece), words.text_of()
-            c = _value(word, count, hashes(words.data, words.starts, words.ends))
-            base = np.bincount(of, np.log10((c + 0.5) / total), n) + np.log10((ends + 0.5) / total)
-            known = np.bincount(of, c > 0, n).astype(np.int64) + (ends > 0)
-            text, places, at = stream(words)
-            score = np.bincount(at, _value(gram, cost, grams(text, places)), n) / LN10
-            out.append(pa.Table.from_arrays(
-                [piece.column("id"), piece.column("held_out"), pa.array(words.counts().astype(np.int64) + 1), pa.array(known),
-                 pa.array(np.full(n, tokens, np.int64)), pa.array(base), pa.array(score)], schema=None,
-                names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]))
-        # A chunk may have got no document.
-        return pa.concat_tables(out) if out else pa.schema([
-            ("id", docs.schema.field("id").type), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-            ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]).empty_table()
+        c = _value(word, count, hashes(words.data, words.starts, words.ends))
+        base = np.bincount(of, np.log10((c + 0.5) / total), n) + np.log10((ends + 0.5) / total)
+        known = np.bincount(of, c > 0, n).astype(np.int64) + (ends > 0)
+        text, places, at = stream(words)
+        score = np.bincount(at, _value(gram, cost, grams(text, places)), n) / LN10
+        return pa.RecordBatch.from_arrays(
+            [piece.column("id"), pa.array(piece.column("key").to_numpy() != 0), pa.array(words.counts().astype(np.int64) + 1),
+             pa.array(known), pa.array(np.full(n, tokens, np.int64)), pa.array(base), pa.array(score)],
+            ["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, answers = None, {GRAM: [], WORD: []}, None
+        for batch in batches:
+            place = batch.column("place").to_numpy()
+            edges = np.concatenate([[0], np.flatnonzero(place[1:] != place[:-1]) + 1, [len(place)]])
+            for a, b in zip(edges.tolist(), edges[1:].tolist()):
+                if a == b:
+                    continue
+                part, (chunk, kind) = batch.slice(a, b - a), divmod(int(place[a]), 4)
+                if chunk != current:
+                    current, held, answers = chunk, {GRAM: [], WORD: []}, None
+                if kind != DOCUMENT:
+                    held[kind].append((part.column("key").to_numpy().copy(), part.column("value").to_numpy().copy()))
+                    continue
+                if answers is None:
+                    answers = [*_answers(held.pop(GRAM)), *_answers(held.pop(WORD))]
+                for piece in pieces(iter([part]), "text", PIECE_BYTES):
+                    yield scored(piece, *answers)
 
     return run
 
 
+def _answers(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0)
+    return _sorted(np.concatenate([k for k, _ in parts]).view(np.uint64), np.concatenate([v for _, v in parts]))
+
+
 def _sorted(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     order = np.argsort(key, kind="stable")
     return key[order], value[order]
@@ -376,15 +395,18 @@ def score(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     tokens, types = int(sums["tokens"] or 0) + trained, int(sums["types"] or 0) + (trained > 0)
     release(spark)
 
-    answers = (grams_asked.select("chunk", "gram").join(costs, "gram").select(
-                   "chunk", F.lit(True).alias("is_gram"), F.col("gram").alias("key"), F.col("cost").alias("value"))
-               .unionByName(words_asked.select("chunk", "word").join(counts, "word").select(
-                   "chunk", F.lit(False).alias("is_gram"), F.col("word").alias("key"), F.col("c").cast("double").alias("value")))
-               .unionByName(spark.range(chunks).select(
-                   F.col("id").cast("int").alias("chunk"), F.lit(False).alias("is_gram"), F.lit(0).cast("bigint").alias("key"),
-                   F.lit(float(trained)).alias("value"))))
     kind = dealt.schema["id"].dataType.simpleString()
-    scored = dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
-        _score_chunk(tokens, types), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+
+    def rows(df: DataFrame, of: int, key: Column, value: Column, row_id: Column = F.lit(None), text: Column = F.lit(None)) -> DataFrame:
+        return df.select((F.col("chunk") * 4 + of).alias("place"), key.cast("bigint").alias("key"), value.alias("value"),
+                         row_id.cast(kind).alias("id"), text.cast("binary").alias("text"))
+
+    ends = spark.range(chunks).select(F.col("id").cast("int").alias("chunk"))
+    passing = (rows(grams_asked.select("chunk", "gram").join(costs, "gram"), GRAM, F.col("gram"), F.col("cost"))
+               .unionByName(rows(words_asked.select("chunk", "word").join(counts, "word"), WORD, F.col("word"), F.col("c").cast("double")))
+               .unionByName(rows(ends, WORD, F.lit(0), F.lit(float(trained))))
+               .unionByName(rows(dealt, DOCUMENT, F.col("held_out"), F.lit(0.0), F.col("id"), F.col("text"))))
+    scored = passing.repartition(F.floor(F.col("place") / 4)).sortWithinPartitions("place").mapInArrow(
+        _score_chunks(tokens, types), f"id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
         "base_score double, score double")
     return scored.withColumnRenamed("id", id_column)
