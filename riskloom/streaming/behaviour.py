@@ -64,12 +64,23 @@ def _running(before: int, values: np.ndarray) -> np.ndarray:
 
 def _advance(rows: pd.DataFrame, state: tuple, spec: FeatureSpec) -> tuple[pd.DataFrame, tuple]:
     """Features of one user's new rows, sorted by time, and the state after them."""
+    given = {c: rows[c].to_numpy() for c in (spec.id, spec.time, spec.amount, spec.key)}
+    out, after = advance_arrays(given, rows["_units"].notna().to_numpy(), rows["_units"].fillna(0).to_numpy(dtype=np.int64),
+                                rows["_place"].to_numpy(dtype=float), rows["_device"].tolist(), state, spec)
+    out[SINCE] = pd.arrays.IntegerArray(*out[SINCE])
+    return pd.DataFrame(out), after
+
+
+SINCE = "time_since_last_geo_change"
+
+
+def advance_arrays(given: dict[str, np.ndarray], has: np.ndarray, units: np.ndarray, place: np.ndarray, shown: list,
+                   state: tuple, spec: FeatureSpec) -> tuple[dict, tuple]:
+    """``_advance`` on arrays: id, time, amount and key, whether there are units, units, places, devices. ``SINCE`` comes with its gaps."""
     (seconds, counts, known, sums, n, n_amt, total, squares, last_time, last_place, last_change, devices, first_seen) = state
-    time = rows[spec.time].to_numpy(dtype=np.int64)
-    has = rows["_units"].notna().to_numpy()
-    units = rows["_units"].fillna(0).to_numpy(dtype=np.int64)
+    time = given[spec.time].astype(np.int64)
     scale = float(10 ** spec.amount_scale)
-    out = {c: rows[c].to_numpy() for c in (spec.id, spec.time, spec.amount, spec.key)}
+    out = dict(given)
 
     # Ranges: one entry per second, old and new, with running totals.
     at, slot = np.unique(np.concatenate([np.array(seconds, dtype=np.int64), time]), return_inverse=True)
@@ -107,17 +118,15 @@ def _advance(rows: pd.DataFrame, state: tuple, spec: FeatureSpec) -> tuple[pd.Da
     # The row before: gap and change of place.
     previous = np.concatenate([[time[0] if last_time is None else last_time], time[:-1]])
     out["time_since_last_tx"] = time - previous
-    place = rows["_place"].to_numpy(dtype=float)
     before = np.concatenate([[np.nan if last_place is None else last_place], place[:-1]])
     changed = ~np.isnan(place) & ~np.isnan(before) & (place != before)
     latest = np.maximum.accumulate(np.where(changed, time, NEVER if last_change is None else last_change))
     latest = latest[np.searchsorted(time, time, "right") - 1]  # rows of the same second see its change
     never = latest == NEVER
-    out["time_since_last_geo_change"] = pd.arrays.IntegerArray(time - np.where(never, 0, latest), never)
+    out[SINCE] = (time - np.where(never, 0, latest), never)
 
     # Devices: the first second each was seen.
     seen = dict(zip(devices, first_seen))
-    shown = rows["_device"].tolist()
     for device, second in zip(shown, time.tolist()):
         seen[device] = min(second, seen.get(device, second))
     out[f"is_new_device_{spec.key}"] = (np.array([seen[d] for d in shown]) == time).astype(np.int64)
@@ -127,4 +136,4 @@ def _advance(rows: pd.DataFrame, state: tuple, spec: FeatureSpec) -> tuple[pd.Da
              int(n + len(time)), int(numbers[-1]), str(totals[-1]), str(moments[-1]), int(time[-1]),
              None if np.isnan(place[-1]) else float(place[-1]),
              None if latest[-1] == NEVER else int(latest[-1]), list(seen), [int(v) for v in seen.values()])
-    return pd.DataFrame(out), after
+    return out, after
